@@ -1,0 +1,154 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tests import helpers as h
+from wattline import schemas
+from wattline.operators import sessions as s
+from wattline.operators.messages import unpack_json
+
+FLAT_RESPONSE = (
+    "charge_point_id string, message_id string, transaction_id int, id_tag_info_status string,"
+    " id_tag_info_parent_id_tag string, id_tag_info_expiry_date string"
+)
+FLAT_REQUEST = (
+    "charge_point_id string, message_id string, connector_id int, id_tag string, meter_start int,"
+    " timestamp {time}, reservation_id int"
+)
+START = "charge_point_id string, transaction_id int, meter_start int, start_timestamp string"
+
+
+@pytest.mark.parametrize("time", ["string", "timestamp"])
+def test_match_start_flat(spark, time):
+    responses = spark.createDataFrame([("123", "456", 1, "Accepted", h.TAG, None)], FLAT_RESPONSE)
+    requests = spark.createDataFrame(
+        [("123", "456", 1, h.TAG, 0, "2022-01-01T08:00:00+00:00", None)], FLAT_REQUEST.format(time="string")
+    ).withColumn("timestamp", F.col("timestamp").cast(time))
+    result = responses.transform(s.match_start, requests)
+    assert result.schema == T.StructType(
+        [
+            T.StructField("charge_point_id", T.StringType()),
+            T.StructField("transaction_id", T.IntegerType()),
+            T.StructField("meter_start", T.IntegerType()),
+            T.StructField("start_timestamp", requests.schema["timestamp"].dataType),
+        ]
+    )
+    assert result.count() == 1
+
+
+def test_match_start_nested_drops_responses_without_request(spark):
+    columns = "charge_point_id string, message_id string, body string"
+    second = h.START_RESPONSE_BODY.replace('"transaction_id": 1', '"transaction_id": 2')
+    responses = spark.createDataFrame(
+        [("AL1000", "m1", h.START_RESPONSE_BODY), ("AL1000", "m2", second)], columns
+    ).transform(unpack_json, schemas.START_RESPONSE)
+    requests = spark.createDataFrame([("AL1000", "m1", h.START_REQUEST_BODY)], columns).transform(
+        unpack_json, schemas.START_REQUEST
+    )
+    result = responses.transform(s.match_start, requests)
+    assert h.rows(result) == [("AL1000", 1, 0, "2022-01-01T08:00:00+00:00")]
+
+
+def test_match_start_ignores_missing_ids_and_keeps_repeats(spark):
+    responses = spark.createDataFrame(
+        [("1", None, 7, None, None, None), ("1", "a", 8, None, None, None)], FLAT_RESPONSE
+    )
+    requests = spark.createDataFrame(
+        [("1", None, 1, "t", 0, "x", None), ("1", "a", 1, "t", 0, "x", None), ("1", "a", 1, "t", 0, "x", None)],
+        FLAT_REQUEST.format(time="string"),
+    )
+    assert h.rows(responses.transform(s.match_start, requests)) == [("1", 8, 0, "x")] * 2
+
+
+SESSION_COLUMNS = [
+    "charge_point_id", "transaction_id", "meter_start", "meter_stop", "start_timestamp", "stop_timestamp",
+]
+
+
+def test_close_session_flat(spark):
+    starts = spark.createDataFrame([("123", 1, 0, "2022-01-01T08:00:00+00:00")], START)
+    stops = spark.createDataFrame(
+        [("bar", 2780, "2022-01-01T08:20:00+00:00", 1, None, h.TAG, None), ("bar", 1, "x", 99, None, h.TAG, None)],
+        "foo string, meter_stop int, timestamp string, transaction_id int, reason string, id_tag string,"
+        " transaction_data string",
+    )
+    result = stops.transform(s.close_session, starts)
+    assert result.columns == SESSION_COLUMNS
+    assert h.rows(result) == [("123", 1, 0, 2780, "2022-01-01T08:00:00+00:00", "2022-01-01T08:20:00+00:00")]
+
+
+def test_close_session_nested(spark):
+    starts = spark.createDataFrame(
+        [("123", 1, 0, "2022-01-01T08:00:00+00:00"), ("123", 2, 0, "2022-01-01T08:00:00+00:00")], START
+    )
+    stops = spark.createDataFrame([("bar", h.STOP_REQUEST_BODY)], "foo string, body string").transform(
+        unpack_json, schemas.STOP_REQUEST
+    )
+    result = stops.transform(s.close_session, starts)
+    assert result.columns == SESSION_COLUMNS
+    assert h.rows(result) == [("123", 1, 0, 2780, "2022-01-01T08:00:00+00:00", "2022-01-01T08:20:00+00:00")]
+
+
+# Start, stop, Wh and hours of closed sessions with known results.
+KNOWN = [
+    ("2023-01-01T10:43:09.900215", "2023-01-01T18:31:34.833396", 95306, 7.81, 95.31),
+    ("2023-01-01T11:20:31.296429", "2023-01-01T17:56:55.669396", 78106, 6.61, 78.11),
+    ("2023-01-01T14:03:42.294160", "2023-01-01T23:19:26.063351", 149223, 9.26, 149.22),
+    ("2023-01-01T12:54:04.750286", "2023-01-01T17:11:31.399112", 51219, 4.29, 51.22),
+    ("2023-01-01T12:57:35.483812", "2023-01-01T22:21:00.811842", 146616, 9.39, 146.62),
+    ("2023-01-01T13:48:12.471750", "2023-01-01T21:41:39.731897", 151794, 7.89, 151.79),
+    ("2022-01-01T08:00:00", "2022-01-01T09:00:00", 1000, 1.0, 1.0),
+]
+
+
+def sessions(spark):
+    data = [
+        ("123", i, 0, wh, datetime.fromisoformat(start), datetime.fromisoformat(stop))
+        for i, (start, stop, wh, _, _) in enumerate(KNOWN)
+    ]
+    return spark.createDataFrame(data, schemas.SESSION)
+
+
+def test_total_time_and_energy(spark):
+    timed = sessions(spark).transform(s.total_time)
+    assert timed.schema == T.StructType(schemas.SESSION.fields + [T.StructField("total_time", T.DoubleType())])
+    kwh = timed.transform(s.total_energy)
+    assert kwh.schema == T.StructType(timed.schema.fields + [T.StructField("total_energy", T.DoubleType())])
+    found = kwh.orderBy("transaction_id").select("total_time", "total_energy").collect()
+    assert [tuple(r) for r in found] == [(hours, energy) for *_, hours, energy in KNOWN]
+    wh = timed.transform(s.total_energy, unit="Wh").orderBy("transaction_id")
+    assert [r.total_energy for r in wh.collect()] == [float(row[2]) for row in KNOWN]
+
+
+def test_energy_survives_extreme_meters_and_refuses_other_units(spark):
+    df = spark.createDataFrame([(-(2**31), 2**31 - 1)], "meter_start int, meter_stop int")
+    assert df.transform(s.total_energy, unit="Wh").first().total_energy == 2.0**32 - 1
+    with pytest.raises(ValueError):
+        df.transform(s.total_energy, unit="MWh")
+
+
+def test_total_time_of_zoneless_times_and_negative_spans(spark):
+    df = spark.sql(
+        "select timestamp_ntz'2023-01-01 10:00:00' as start_timestamp, timestamp_ntz'2023-01-01 09:30:00' as stop_timestamp"
+    )
+    assert df.transform(s.total_time).first().total_time == -0.5
+
+
+def test_attach_parking_keeps_sessions_without_parking(spark):
+    nine, half = datetime(2023, 1, 1, 9), datetime(2023, 1, 1, 9, 30)
+    full = spark.createDataFrame(
+        [("123", i, 0, 100 * i, nine, half, 0.5, 100.0 * i) for i in (1, 2, 3)],
+        T.StructType(
+            schemas.SESSION.fields
+            + [T.StructField("total_time", T.DoubleType()), T.StructField("total_energy", T.DoubleType())]
+        ),
+    )
+    parking = spark.createDataFrame([(1, 0.1), (3, 0.2)], "transaction_id int, total_parking_time double")
+    result = full.transform(s.attach_parking, parking)
+    assert result.schema == T.StructType(full.schema.fields + [T.StructField("total_parking_time", T.DoubleType())])
+    assert [r.total_parking_time for r in result.orderBy("transaction_id").collect()] == [0.1, None, 0.2]
+    record = result.transform(s.drop_meters)
+    assert record.schema == schemas.CDR
+    assert record.count() == 3

@@ -8,6 +8,7 @@ before the shuffle; no rows are gathered into arrays.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -166,18 +167,21 @@ def meter_values(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def charging_log(spark: SparkSession, folder: str) -> DataFrame:
-    """The raw log of all kinds of messages; a filter on one kind leaves only its branch."""
-    orders, lineitem = table(spark, folder, "orders"), table(spark, folder, "lineitem")
+ACTIONS = ("StartTransaction", "StopTransaction", "MeterValues", "StatusNotification")
+
+
+def charging_log(
+    orders: DataFrame, lineitem: DataFrame, events: DataFrame, actions: Sequence[str] = ACTIONS
+) -> DataFrame:
+    """The raw log of the given actions; a filter on one kind of message leaves only its branch."""
     facts = session_facts(orders, lineitem)
-    kinds = [
-        start_requests(facts),
-        start_responses(orders),
-        stop_requests(facts),
-        meter_values(spread(lineitem)),
-        status_notifications(spread(table(spark, folder, "events"))),
-    ]
-    return reduce(DataFrame.unionByName, kinds)
+    kinds = {
+        "StartTransaction": lambda: start_requests(facts).unionByName(start_responses(orders)),
+        "StopTransaction": lambda: stop_requests(facts),
+        "MeterValues": lambda: meter_values(spread(lineitem)),
+        "StatusNotification": lambda: status_notifications(spread(events)),
+    }
+    return reduce(DataFrame.unionByName, [kinds[action]() for action in actions])
 
 
 def _sample(value: Column, measurand: str, phase: str | None, unit: str) -> Column:

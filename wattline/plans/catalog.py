@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,24 +73,37 @@ class Query:
         return _zoneless(self.build(Tables(use_utc(spark), folder)))
 
 
-@dataclass
 class Tables:
-    spark: SparkSession
-    folder: str
+    """The test tables, and the parts of the charging log that a query needs."""
 
-    def __getitem__(self, name: str) -> DataFrame:
-        return bindings.table(self.spark, self.folder, name)
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder
+        self._cache: dict = {}
+
+    def _once(self, key, build: Callable[[], DataFrame]) -> DataFrame:
+        if key not in self._cache:
+            self._cache[key] = build()
+        return self._cache[key]
 
-    @cached_property
-    def log(self) -> DataFrame:
-        return bindings.charging_log(self.spark, self.folder)
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._once(name, lambda: bindings.table(self.spark, self.folder, name))
+
+    def log(self, *actions: str) -> DataFrame:
+        """The raw log, of all actions unless some are named."""
+        return self._once(
+            actions,
+            lambda: bindings.charging_log(
+                self["orders"], self["lineitem"], self["events"], actions or bindings.ACTIONS
+            ),
+        )
 
     @property
     def events(self) -> DataFrame:
         return bindings.event_messages(self["events"])
 
     def kind(self, action: str, message_type: int) -> DataFrame:
-        return self.log.transform(messages, action, message_type)
+        return self.log(action).transform(messages, action, message_type)
 
     def scratch(self, label: str) -> str:
         return shared_folder(self.spark, label)
@@ -117,6 +129,7 @@ START_RESPONSE_WIDE = with_wide_ids(START_RESPONSE)
 STOP_REQUEST_WIDE = with_wide_ids(STOP_REQUEST)
 METER_VALUES_WIDE = with_wide_ids(METER_VALUES)
 PROPS = StructType([StructField("k", IntegerType(), True)])
+START, STOP, METER, STATUS = bindings.ACTIONS
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 IDLE_BELOW = 5
 
@@ -229,7 +242,7 @@ SELECT 'start-' || o_orderkey AS message_id, 2 AS message_type, CAST(o_custkey A
        strftime(least(o_orderdate, coalesce(first_ship, o_orderdate)), {ISO}) AS write_timestamp
 FROM facts""")
 def filter_start_request(t: Tables) -> DataFrame:
-    return t.kind("StartTransaction", REQUEST).transform(_envelope)
+    return t.kind(START, REQUEST).transform(_envelope)
 
 
 @query(f"""
@@ -237,7 +250,7 @@ SELECT 'start-' || o_orderkey AS message_id, 3 AS message_type, CAST(o_custkey A
        'StartTransaction' AS action, strftime(o_orderdate, {ISO}) AS write_timestamp
 FROM orders""")
 def filter_start_response(t: Tables) -> DataFrame:
-    return t.kind("StartTransaction", RESPONSE).transform(_envelope)
+    return t.kind(START, RESPONSE).transform(_envelope)
 
 
 @query(f"""
@@ -246,7 +259,7 @@ SELECT 'stop-' || o_orderkey AS message_id, 2 AS message_type, CAST(o_custkey AS
        'StopTransaction' AS action, strftime(last_ship + INTERVAL 12 HOUR, {ISO}) AS write_timestamp
 FROM facts WHERE last_ship IS NOT NULL""")
 def filter_stop_request(t: Tables) -> DataFrame:
-    return t.kind("StopTransaction", REQUEST).transform(_envelope)
+    return t.kind(STOP, REQUEST).transform(_envelope)
 
 
 @query(f"""
@@ -255,7 +268,7 @@ SELECT 'meter-' || l_orderkey || '-' || l_linenumber AS message_id, 2 AS message
        strftime(l_shipdate + INTERVAL 6 HOUR, {ISO}) AS write_timestamp
 FROM lineitem""")
 def filter_meter_request(t: Tables) -> DataFrame:
-    return t.kind("MeterValues", REQUEST).transform(_envelope)
+    return t.kind(METER, REQUEST).transform(_envelope)
 
 
 @query("""
@@ -266,7 +279,7 @@ UNION ALL SELECT 'StopTransaction', 2, count(*) FROM orders
 UNION ALL SELECT 'MeterValues', 2, count(*) FROM lineitem HAVING count(*) > 0
 UNION ALL SELECT 'StatusNotification', 2, count(*) FROM events HAVING count(*) > 0""")
 def count_kinds(t: Tables) -> DataFrame:
-    return t.log.groupBy("action", "message_type").agg(F.count(F.lit(1)).alias("messages"))
+    return t.log().groupBy("action", "message_type").agg(F.count(F.lit(1)).alias("messages"))
 
 
 @query("SELECT DISTINCT event_type AS action FROM events")
@@ -292,7 +305,7 @@ SELECT 'start-' || o_orderkey AS message_id, 1 AS connector_id, 'tag-' || o_cust
        CAST(NULL AS INTEGER) AS reservation_id
 FROM facts""")
 def unpack_start_request(t: Tables) -> DataFrame:
-    return t.kind("StartTransaction", REQUEST).transform(unpack_json, START_REQUEST).select("message_id", "new_body.*")
+    return t.kind(START, REQUEST).transform(unpack_json, START_REQUEST).select("message_id", "new_body.*")
 
 
 @query("""
@@ -301,7 +314,7 @@ SELECT 'start-' || o_orderkey AS message_id, o_orderkey AS transaction_id, o_ord
 FROM orders""")
 def unpack_start_response(t: Tables) -> DataFrame:
     return (
-        t.kind("StartTransaction", RESPONSE)
+        t.kind(START, RESPONSE)
         .transform(unpack_json, START_RESPONSE_WIDE)
         .select("message_id", "new_body.transaction_id", "new_body.id_tag_info.*")
     )
@@ -315,7 +328,7 @@ SELECT o_orderkey AS transaction_id, high AS meter_stop,
 FROM facts WHERE last_ship IS NOT NULL""")
 def unpack_stop_request(t: Tables) -> DataFrame:
     return (
-        t.kind("StopTransaction", REQUEST)
+        t.kind(STOP, REQUEST)
         .transform(unpack_json, STOP_REQUEST_WIDE)
         .select("new_body.*")
         .withColumn("transaction_data", F.array_join("transaction_data", ","))
@@ -329,7 +342,7 @@ FROM lineitem""")
 def unpack_meter_values(t: Tables) -> DataFrame:
     readings = F.col("new_body.meter_value")
     return (
-        t.kind("MeterValues", REQUEST)
+        t.kind(METER, REQUEST)
         .transform(unpack_json, METER_VALUES_WIDE)
         .select(
             "message_id",
@@ -350,7 +363,7 @@ SELECT CAST(user_id AS VARCHAR) AS charge_point_id, 1 AS connector_id, 'NoError'
 FROM events""")
 def unpack_status(t: Tables) -> DataFrame:
     return (
-        t.kind("StatusNotification", REQUEST)
+        t.kind(STATUS, REQUEST)
         .transform(unpack_json, STATUS_NOTIFICATION)
         .select("charge_point_id", "new_body.*")
     )
@@ -359,7 +372,7 @@ def unpack_status(t: Tables) -> DataFrame:
 @query("SELECT CAST(user_id AS VARCHAR) AS charge_point_id, event_type AS status, ts AS timestamp FROM events")
 def select_statuses(t: Tables) -> DataFrame:
     return (
-        t.kind("StatusNotification", REQUEST).transform(unpack_json, STATUS_NOTIFICATION).transform(select_status)
+        t.kind(STATUS, REQUEST).transform(unpack_json, STATUS_NOTIFICATION).transform(select_status)
     )
 
 
@@ -376,7 +389,7 @@ SELECT 'start-' || o_orderkey AS message_id, 2 AS message_type, CAST(o_custkey A
        CAST(NULL AS INTEGER) AS reservation_id
 FROM facts""")
 def flatten_start_request(t: Tables) -> DataFrame:
-    return t.kind("StartTransaction", REQUEST).transform(unpack_json, START_REQUEST).transform(flatten)
+    return t.kind(START, REQUEST).transform(unpack_json, START_REQUEST).transform(flatten)
 
 
 @query(f"""
@@ -386,7 +399,7 @@ SELECT 'start-' || o_orderkey AS message_id, 3 AS message_type, CAST(o_custkey A
        o_orderpriority AS id_tag_info_parent_id_tag, CAST(NULL AS VARCHAR) AS id_tag_info_expiry_date
 FROM orders""")
 def flatten_start_response(t: Tables) -> DataFrame:
-    return silver.start_transaction_responses(t.log, wide_ids=True)
+    return silver.start_transaction_responses(t.log(START), wide_ids=True)
 
 
 @query(f"""
@@ -399,7 +412,7 @@ SELECT 'stop-' || o_orderkey AS message_id, 2 AS message_type, CAST(o_custkey AS
 FROM facts WHERE last_ship IS NOT NULL""")
 def flatten_stop_request(t: Tables) -> DataFrame:
     return (
-        t.kind("StopTransaction", REQUEST)
+        t.kind(STOP, REQUEST)
         .transform(unpack_json, STOP_REQUEST_WIDE)
         .transform(flatten)
         .withColumn("transaction_data", F.array_join("transaction_data", ","))
@@ -412,7 +425,7 @@ SELECT 'start-' || o_orderkey AS message_id, 1 AS connector_id, 'tag-' || o_cust
        coalesce(low, 0) AS meter_start, least(o_orderdate, coalesce(first_ship, o_orderdate)) AS timestamp
 FROM facts""")
 def cast_start_request(t: Tables) -> DataFrame:
-    return silver.start_transaction_requests(t.log).select(
+    return silver.start_transaction_requests(t.log(START)).select(
         "message_id", "connector_id", "id_tag", "meter_start", "timestamp"
     )
 
@@ -423,7 +436,7 @@ SELECT 'stop-' || o_orderkey AS message_id, high AS meter_stop, last_ship + INTE
        o_orderkey AS transaction_id, o_orderstatus || ',' || o_orderpriority AS transaction_data
 FROM facts WHERE last_ship IS NOT NULL""")
 def cast_stop_request(t: Tables) -> DataFrame:
-    return silver.stop_transaction_requests(t.log, wide_ids=True).select(
+    return silver.stop_transaction_requests(t.log(STOP), wide_ids=True).select(
         "message_id",
         "meter_stop",
         "timestamp",
@@ -446,14 +459,14 @@ def event_times(t: Tables) -> DataFrame:
 
 @query(f"WITH {SAMPLES} SELECT * FROM samples")
 def explode_samples(t: Tables) -> DataFrame:
-    return t.kind("MeterValues", REQUEST).transform(unpack_json, METER_VALUES_WIDE).transform(flatten_samples)
+    return t.kind(METER, REQUEST).transform(unpack_json, METER_VALUES_WIDE).transform(flatten_samples)
 
 
 @query(f"""
 WITH {SAMPLES}
 SELECT * FROM samples WHERE measurand = 'Power.Active.Import' AND phase IS NULL""")
 def filter_power_samples(t: Tables) -> DataFrame:
-    return silver.meter_values_requests(t.log, wide_ids=True).transform(power_samples)
+    return silver.meter_values_requests(t.log(METER), wide_ids=True).transform(power_samples)
 
 
 @query(f"""
@@ -512,28 +525,28 @@ def _nested(t: Tables, action: str, message_type: int, schema: StructType) -> Da
 
 
 def _text_starts(t: Tables) -> DataFrame:
-    return _nested(t, "StartTransaction", RESPONSE, START_RESPONSE_WIDE).transform(
-        match_start, _nested(t, "StartTransaction", REQUEST, START_REQUEST)
+    return _nested(t, START, RESPONSE, START_RESPONSE_WIDE).transform(
+        match_start, _nested(t, START, REQUEST, START_REQUEST)
     )
 
 
 def _text_sessions(t: Tables) -> DataFrame:
-    return _nested(t, "StopTransaction", REQUEST, STOP_REQUEST_WIDE).transform(close_session, _text_starts(t))
+    return _nested(t, STOP, REQUEST, STOP_REQUEST_WIDE).transform(close_session, _text_starts(t))
 
 
 def _starts(t: Tables) -> DataFrame:
-    return silver.start_transaction_responses(t.log, wide_ids=True).transform(
-        match_start, silver.start_transaction_requests(t.log)
+    return silver.start_transaction_responses(t.log(START), wide_ids=True).transform(
+        match_start, silver.start_transaction_requests(t.log(START))
     )
 
 
 def _sessions(t: Tables) -> DataFrame:
-    return silver.stop_transaction_requests(t.log, wide_ids=True).transform(close_session, _starts(t))
+    return silver.stop_transaction_requests(t.log(STOP), wide_ids=True).transform(close_session, _starts(t))
 
 
 def _power(t: Tables) -> DataFrame:
     return (
-        t.kind("MeterValues", REQUEST).transform(unpack_json, METER_VALUES_WIDE).transform(reshape_meter_values)
+        t.kind(METER, REQUEST).transform(unpack_json, METER_VALUES_WIDE).transform(reshape_meter_values)
     )
 
 
@@ -629,7 +642,7 @@ WITH {SESSIONS}, {PARKING}
 SELECT sessions.*, {TOTAL_TIME}, {KWH}, total_parking_time
 FROM sessions LEFT JOIN parking USING (transaction_id)""")
 def cdr(t: Tables) -> DataFrame:
-    return gold.charge_detail_records_from_silver(silver.silver_tables(t.log, wide_ids=True))
+    return gold.charge_detail_records_from_silver(silver.silver_tables(t.log(), wide_ids=True))
 
 
 @query(f"""
@@ -637,7 +650,7 @@ WITH {SESSIONS}, {PARKING}
 SELECT charge_point_id, transaction_id, start_timestamp, stop_timestamp, {TOTAL_TIME}, {WH}, total_parking_time
 FROM sessions LEFT JOIN parking USING (transaction_id)""")
 def cdr_from_log(t: Tables) -> DataFrame:
-    return gold.charge_detail_records_from_log(t.log, wide_ids=True)
+    return gold.charge_detail_records_from_log(t.log(), wide_ids=True)
 
 
 # --- last seen, status counts, order -----------------------------------------
@@ -710,7 +723,7 @@ def top_k_sessions(t: Tables) -> DataFrame:
 SELECT 'start-' || o_orderkey AS message_id, o_orderkey AS transaction_id FROM orders
 ORDER BY o_orderkey LIMIT 3""")
 def top_k_nested(t: Tables) -> DataFrame:
-    answers = _nested(t, "StartTransaction", RESPONSE, START_RESPONSE_WIDE)
+    answers = _nested(t, START, RESPONSE, START_RESPONSE_WIDE)
     return answers.transform(order.top_k, 3, "new_body.transaction_id").select(
         "message_id", "new_body.transaction_id"
     )
@@ -820,14 +833,14 @@ UNION ALL SELECT 'StopTransactionRequest', count(*), count(*) FROM orders
 UNION ALL SELECT 'MeterValuesRequest', count(DISTINCT (l_orderkey, l_linenumber)), 6 * count(*) FROM lineitem""")
 def silver_log(t: Tables) -> DataFrame:
     out = t.scratch("silver")
-    silver.write_silver(t.log, out, wide_ids=True)
+    silver.write_silver(t.log(), out, wide_ids=True)
     counts = [
         read_parquet(t.spark, f"{out}/{name}", table.schema).agg(
             F.lit(name).alias("name"),
             F.count_distinct("message_id").alias("messages"),
             F.count(F.lit(1)).alias("rows"),
         )
-        for name, table in silver.silver_tables(t.log, wide_ids=True).items()
+        for name, table in silver.silver_tables(t.log(), wide_ids=True).items()
     ]
     return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
 
@@ -836,8 +849,8 @@ def silver_log(t: Tables) -> DataFrame:
 def gold_log(t: Tables) -> DataFrame:
     """The job in the large: silver tables written, read back, joined, written, read back."""
     out = t.scratch("gold")
-    tables = silver.silver_tables(t.log, wide_ids=True)
-    silver.write_silver(t.log, out, wide_ids=True)
+    tables = silver.silver_tables(t.log(), wide_ids=True)
+    silver.write_silver(t.log(), out, wide_ids=True)
     written = {name: read_parquet(t.spark, f"{out}/{name}", table.schema) for name, table in tables.items()}
     records = gold.charge_detail_records_from_silver(written)
     gold.write_gold(records, out)
