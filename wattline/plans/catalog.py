@@ -42,6 +42,7 @@ from wattline.operators.timeparts import (
     bronze_partition_columns,
     event_log_partition_columns,
     lake_partition_columns,
+    parts_to,
     with_event_time,
 )
 from wattline.plans import bronze, gold, lake, last_seen, silver
@@ -811,16 +812,13 @@ FROM events GROUP BY ALL"""
 
 @query(HOURS_SQL.format(rest="count(*) AS messages, count(DISTINCT event_type) AS actions"))
 def bronze_log(t: Tables) -> DataFrame:
-    schema = StructType(
-        [StructField(f.name, TimestampType() if f.name == "write_timestamp" else f.dataType) for f in MESSAGE.fields]
-    )
-    for part in ("year", "month", "day", "hour"):
-        schema = schema.add(part, IntegerType())
+    fields = [StructField(f.name, TimestampType() if f.name == "write_timestamp" else f.dataType) for f in MESSAGE]
+    schema = StructType(fields + [StructField(part, IntegerType()) for part in parts_to("hour")])
     out = t.scratch("bronze")
     bronze.write_bronze(t.events, out)
     return (
         read_message_log(t.spark, out, schema=schema)
-        .groupBy("year", "month", "day", "hour")
+        .groupBy(*parts_to("hour"))
         .agg(F.count("message_id").alias("messages"), F.count_distinct("action").alias("actions"))
     )
 

@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructType, TimestampNTZType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampNTZType
 
 from wattline.functions import event_time
 from wattline.operators.timeparts import parts_to
@@ -89,9 +89,8 @@ def read_last_minute(
     if format != "parquet":
         return read_time_slice(spark.read.format(format).load(path), at, column, unit)
     parts = parts_to(to)
-    full = schema
-    for part in parts:
-        full = full.add(part, IntegerType()) if part not in full.names else full
+    missing = [StructField(part, IntegerType(), True) for part in parts if part not in schema.names]
+    full = StructType(schema.fields + missing)
     start = _floor(at, unit)
     coarse = parts[: parts.index(unit) + 1] if unit in parts else parts
     leaf = "/".join([path.rstrip("/"), *[f"{part}={getattr(start, part)}" for part in coarse]])
