@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from tests import helpers as h
 from wattline import schemas
-from wattline.operators.checks import schema_differences
+from wattline.operators.checks import audit, committed, data_files, schema_differences
 from wattline.plans import gold, silver
-from wattline.sources.listing import is_committed, list_output
+from wattline.sources.listing import is_committed, list_output, list_tree
 from wattline.sources.tables import read_parquet
 
 WRITTEN = "2023-01-01T09:00:00.000000+00:00"
@@ -68,10 +68,10 @@ PARKING = {1: 0.25, 2: None, 3: 1.0}
 
 def test_silver_tables(spark, out):
     df = log(spark)
-    silver.write_silver(df, out)
+    silver.write_silver(df, out, files=1)
     for name, table in silver.silver_tables(df).items():
-        files = [r.name for r in list_output(spark, f"{out}/{name}").collect()]
-        assert len([n for n in files if n.endswith(".snappy.parquet")]) == 1
+        layout = list_output(spark, f"{out}/{name}").transform(audit, data_files(exact=1), committed())
+        assert [r.passed for r in layout.collect()] == [True, True]
         assert is_committed(spark, f"{out}/{name}")
         back = read_parquet(spark, f"{out}/{name}")
         assert schema_differences(back.schema, table.schema) == []
@@ -85,6 +85,17 @@ def test_silver_tables(spark, out):
     }
 
 
+def test_small_silver_tables_are_brought_together_and_samples_stay(spark, out):
+    df = log(spark).repartition(4)
+    silver.write_silver(df, out)
+    files = {n: list_tree(spark, f"{out}/{n}").count() for n in silver.silver_tables(df)}
+    assert {n: f for n, f in files.items() if n != "MeterValuesRequest"} == {
+        "StartTransactionRequest": 1, "StartTransactionResponse": 1, "StopTransactionRequest": 1,
+    }
+    assert files["MeterValuesRequest"] > 1
+    assert read_parquet(spark, f"{out}/MeterValuesRequest").count() == 24
+
+
 def test_records_from_silver(spark, out):
     records = gold.charge_detail_records_from_silver(silver.silver_tables(log(spark)))
     assert records.columns == schemas.SESSION.names + ["total_time", "total_energy", "total_parking_time"]

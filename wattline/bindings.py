@@ -174,6 +174,7 @@ def charging_log(
     orders: DataFrame, lineitem: DataFrame, events: DataFrame, actions: Sequence[str] = ACTIONS
 ) -> DataFrame:
     """The raw log of the given actions; a filter on one kind of message leaves only its branch."""
+    orders = spread(orders)
     facts = session_facts(orders, lineitem)
     kinds = {
         "StartTransaction": lambda: start_requests(facts).unionByName(start_responses(orders)),

@@ -8,5 +8,5 @@ from wattline.operators.timeparts import bronze_partition_columns
 from wattline.sinks.tables import write_log_partitioned
 
 
-def write_bronze(log: DataFrame, path: str, one_file: bool = False) -> None:
-    write_log_partitioned(log.transform(bronze_partition_columns), path, one_file=one_file)
+def write_bronze(log: DataFrame, path: str, one_file: bool = False, tasks: int | None = None) -> None:
+    write_log_partitioned(log.transform(bronze_partition_columns), path, one_file=one_file, tasks=tasks)

@@ -893,6 +893,18 @@ def lake_months(t: Tables) -> DataFrame:
     return listing.list_output(t.spark, f"{_lake(t)}/year=2024").select("name")
 
 
+@query("""
+SELECT 'row_count' AS "check", count(DISTINCT month(ts)) AS observed, count(DISTINCT month(ts)) = 1 AS passed
+FROM events WHERE year(ts) = 2024
+UNION ALL
+SELECT 'domain(name)', count(DISTINCT month(ts)) FILTER (month(ts) <> 1),
+       count(DISTINCT month(ts)) FILTER (month(ts) <> 1) = 0 AND bool_or(month(ts) = 1)
+FROM events WHERE year(ts) = 2024""")
+def check_layout(t: Tables) -> DataFrame:
+    months = listing.list_output(t.spark, f"{_lake(t)}/year=2024")
+    return months.transform(checks.audit, checks.row_count(exact=1), checks.domain("name", ["month=1/"]))
+
+
 EVENT_LOG_SQL = """
 SELECT event_type AS action, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
        CAST(day(ts) AS INTEGER) AS day, count(*) AS messages

@@ -43,7 +43,11 @@ def stream_event_log(
     key: str = "charge_point_id",
     schema: StructType = LAKE_MESSAGE,
     once: bool = True,
+    **options: str,
 ) -> StreamingQuery:
-    """The same flow as a stream: each lake file is taken over exactly once, also after a failure."""
-    arrived = read_message_stream(spark, lake, schema=schema).transform(event_log_partition_columns)
+    """The same flow as a stream: each lake file is taken over exactly once, also after a failure.
+
+    Source options such as ``maxFilesPerTrigger`` bound the batches of a long backlog.
+    """
+    arrived = read_message_stream(spark, lake, schema=schema, **options).transform(event_log_partition_columns)
     return write_stream(arrived, event_log, checkpoint, (key, *parts_to("day")), once)

@@ -58,6 +58,10 @@ def silver_tables(log: DataFrame, wide_ids: bool = False) -> dict[str, DataFrame
 
 
 def write_silver(log: DataFrame, path: str, wide_ids: bool = False, files: int | None = None) -> None:
-    """One Parquet table per kind; on a bronze log each write reads its own row groups only."""
+    """One Parquet table per kind; on a bronze log each write reads its own row groups only.
+
+    The samples are most of the log and stay where they were read; the small tables
+    are brought together into few files. ``files`` fixes the number for all.
+    """
     for name, table in silver_tables(log, wide_ids).items():
-        write_table(table, f"{path.rstrip('/')}/{name}", files)
+        write_table(table, f"{path.rstrip('/')}/{name}", files, in_place=name == "MeterValuesRequest")

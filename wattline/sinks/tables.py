@@ -18,36 +18,47 @@ def write_log_partitioned(
     to: str = "hour",
     cluster_by: tuple[str, ...] = ("action", "message_type"),
     one_file: bool = False,
+    tasks: int | None = None,
     mode: str = "overwrite",
 ) -> None:
     """The raw log as Parquet under ``year=…/month=…/day=…/hour=…``.
 
     Rows are sorted by the kind of message within a file, so a later filter on one
     kind skips the row groups of the others. ``one_file`` forces one file per
-    directory whatever its size.
+    directory whatever its size. ``tasks`` should be about the number of directories
+    of a large load, so that no task holds a little of many of them.
     """
-    parts = parts_to(to)
-    _write_by(df, path, parts, [name for name in cluster_by if name in df.columns], mode, one_file=one_file)
+    order = [name for name in cluster_by if name in df.columns]
+    _write_by(df, path, parts_to(to), mode, order=order, one_file=one_file, tasks=tasks)
 
 
-def write_table(df: DataFrame, path: str, files: int | None = None, mode: str = "overwrite") -> None:
-    """A Parquet table in as many files as its size asks for, or in exactly ``files``."""
-    placed = df.hint("rebalance") if files is None else df.repartition(files)
-    placed.write.mode(mode).parquet(path)
+def write_table(
+    df: DataFrame, path: str, files: int | None = None, in_place: bool = False, mode: str = "overwrite"
+) -> None:
+    """A Parquet table in as many files as its size asks for, or in exactly ``files``.
+
+    ``in_place`` writes every row where it is, without a shuffle: right for a table
+    about as large as the input it is made of, row by row.
+    """
+    if files is not None:
+        df = df.repartition(files)
+    elif not in_place:
+        df = df.hint("rebalance")
+    df.write.mode(mode).parquet(path)
 
 
 def append_lake_table(
     df: DataFrame, path: str, to: str = "minute", format: str = "parquet", mode: str = "append"
 ) -> None:
     """Append to the lake table, partitioned down to ``to``; ``format="delta"`` where installed."""
-    _write_by(df, path, parts_to(to), [], mode, format)
+    _write_by(df, path, parts_to(to), mode, format)
 
 
 def write_event_log(
     df: DataFrame, path: str, key: str = "charge_point_id", format: str = "parquet", mode: str = "append"
 ) -> None:
     """The log of each device under ``<key>=…/year=…/month=…/day=…``."""
-    _write_by(df, path, [key, *parts_to("day")], [], mode, format)
+    _write_by(df, path, [key, *parts_to("day")], mode, format)
 
 
 def lake_format(spark: SparkSession) -> str:
@@ -59,8 +70,19 @@ def lake_format(spark: SparkSession) -> str:
     return "delta"
 
 
-def _write_by(df, path, parts, order, mode, format="parquet", one_file=False) -> None:
-    placed = df.repartition(*parts) if one_file else df.hint("rebalance", *parts)
+def _write_by(
+    df: DataFrame,
+    path: str,
+    parts: list[str],
+    mode: str,
+    format: str = "parquet",
+    order: list[str] | None = None,
+    one_file: bool = False,
+    tasks: int | None = None,
+) -> None:
+    by = [*([] if tasks is None else [tasks]), *parts]
+    placed = df.repartition(*by) if one_file else df.hint("rebalance", *by)
     if order:
+        # The writer sorts by directory anyway; this order begins the same, so it is one sort.
         placed = placed.sortWithinPartitions(*parts, *order)
     placed.write.mode(mode).format(format).partitionBy(*parts).save(path)

@@ -46,7 +46,8 @@ def spread(df: DataFrame) -> DataFrame:
     """Share rows out over idle cores before expensive row-wise work.
 
     Only where the scan has fewer splits than there are cores, as with a few small
-    files; a table of many files stays as it is and is not shuffled.
+    files; a table of many files stays as it is and is not shuffled. For scans: to ask
+    a plan with shuffles for its partitions would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
