@@ -118,6 +118,17 @@ def test_records_from_the_raw_log(spark, typed):
     assert {k: r.total_parking_time for k, r in found.items()} == PARKING
 
 
+def test_repeated_messages_count_once_if_asked(spark):
+    df = log(spark)
+    twice = df.unionByName(df)
+    expected = h.rows(gold.charge_detail_records_from_log(df))
+    assert h.rows(gold.charge_detail_records_from_log(twice, once=True)) == expected
+    assert gold.charge_detail_records_from_log(twice).count() == 8 * len(expected)
+    tables = silver.silver_tables(twice)
+    records = gold.charge_detail_records_from_silver(tables, once=True)
+    assert h.rows(records) == h.rows(gold.charge_detail_records_from_silver(silver.silver_tables(df)))
+
+
 def test_parking_never_exceeds_the_session(spark):
     records = gold.charge_detail_records_from_silver(silver.silver_tables(log(spark)))
     assert records.filter(F.col("total_parking_time") > F.col("total_time")).count() == 0

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from wattline.functions import energy, hours_between
 
 
-def match_start(responses: DataFrame, requests: DataFrame) -> DataFrame:
+def match_start(responses: DataFrame, requests: DataFrame, once: bool = False) -> DataFrame:
     """Start requests that were answered, with the transaction id of the answer.
 
     Both sides may be flat tables or still hold the unpacked body. ``message_id``
-    links the two; the device is part of the key because both sides have it.
+    links the two; the device is part of the key because both sides have it. As in
+    any join, a message logged twice counts twice; ``once`` first drops exact copies,
+    for logs that were delivered more than once.
     """
     answered = responses.select(
         "charge_point_id", "message_id", _field(responses, "transaction_id").alias("transaction_id")
@@ -23,18 +25,25 @@ def match_start(responses: DataFrame, requests: DataFrame) -> DataFrame:
         _field(requests, "meter_start").alias("meter_start"),
         _field(requests, "timestamp").alias("start_timestamp"),
     )
+    if once:
+        answered, asked = answered.dropDuplicates(), asked.dropDuplicates()
     return answered.join(asked, ["charge_point_id", "message_id"]).select(
         "charge_point_id", "transaction_id", "meter_start", "start_timestamp"
     )
 
 
-def close_session(stops: DataFrame, starts: DataFrame) -> DataFrame:
-    """Sessions with both ends; a stop without a start, or the reverse, gives no row."""
+def close_session(stops: DataFrame, starts: DataFrame, once: bool = False) -> DataFrame:
+    """Sessions with both ends; a stop without a start, or the reverse, gives no row.
+
+    ``once`` drops exact copies first, as in ``match_start``.
+    """
     ended = stops.select(
         _field(stops, "transaction_id").alias("transaction_id"),
         _field(stops, "meter_stop").alias("meter_stop"),
         _field(stops, "timestamp").alias("stop_timestamp"),
     )
+    if once:
+        ended, starts = ended.dropDuplicates(), starts.dropDuplicates()
     return ended.join(starts, "transaction_id").select(
         "charge_point_id",
         "transaction_id",
