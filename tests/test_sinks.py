@@ -162,3 +162,29 @@ def test_spread_only_where_cores_idle(spark):
     few, many = spark.range(0, 10, 1, 1), spark.range(0, 10, 1, 16)
     assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread(many) is many
+
+
+def test_filter_on_a_kind_skips_row_groups_of_the_bronze_log(spark, out):
+    df = spark.range(60000).select(
+        F.concat(F.lit("m"), "id").alias("message_id"),
+        F.lit(2).alias("message_type"),
+        F.lit("d").alias("charge_point_id"),
+        F.when(F.col("id") % 10 == 0, "StartTransaction").otherwise("MeterValues").alias("action"),
+        F.lit("2023-01-01T08:00:00Z").alias("write_timestamp"),
+        F.sha2(F.col("id").cast("string"), 512).alias("body"),
+    )
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", str(256 * 1024))
+    try:
+        write_bronze(df, out)
+    finally:
+        hadoop.unset("parquet.block.size")
+    starts = spark.read.parquet(out).filter("action = 'StartTransaction'")
+    assert starts.count() == 6000
+
+    def read(table):
+        plan = table._jdf.queryExecution().executedPlan()
+        table._jdf.queryExecution().toRdd().count()
+        return plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+
+    assert read(starts.select("body")) < 20000

@@ -76,20 +76,20 @@ def reshape_meter_values(df: DataFrame, measurand: str = POWER, struct: str = "n
 
 def _samples(df: DataFrame, struct: str, envelope: list[str], ids: tuple[str, ...]) -> DataFrame:
     body = F.col(struct)
-    readings = df.select(
+    kept = [*envelope, *ids]
+    # Each explode is given only what its rows will need: no row carries the struct or the
+    # array it came from, and the time is parsed once per reading instead of per sample.
+    bodies = df.select(
         *envelope,
         *[body.getField(name).alias(name) for name in ids],
-        F.explode(body.getField("meter_value")).alias("reading"),
+        body.getField("meter_value").alias("readings"),
     )
-    return readings.select(
-        *envelope,
-        *ids,
-        F.col("reading.timestamp").alias("timestamp"),
-        F.explode("reading.sampled_value").alias("sample"),
-    ).select(
-        *envelope,
-        *ids,
-        event_time("timestamp").alias("timestamp"),
+    readings = bodies.select(*kept, F.explode("readings").alias("reading")).select(
+        *kept, event_time("reading.timestamp").alias("timestamp"), F.col("reading.sampled_value").alias("samples")
+    )
+    return readings.select(*kept, "timestamp", F.explode("samples").alias("sample")).select(
+        *kept,
+        "timestamp",
         F.col("sample.measurand").alias("measurand"),
         F.col("sample.phase").alias("phase"),
         F.col("sample.value").try_cast("double").alias("value"),

@@ -6,8 +6,8 @@ Results hold zone-less timestamps, so that both engines return the same type.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 from datetime import datetime
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,15 +65,6 @@ from wattline.sources.tables import read_last_minute, read_message_log, read_par
 from wattline.streaming.status import count_statuses, write_stream
 
 
-@dataclass(frozen=True)
-class Query:
-    build: Callable[[Tables], DataFrame]
-    sql: str
-
-    def __call__(self, spark: SparkSession, folder: str) -> DataFrame:
-        return _zoneless(self.build(Tables(use_utc(spark), folder)))
-
-
 class Tables:
     """The test tables, and the parts of the charging log that a query needs."""
 
@@ -110,12 +101,20 @@ class Tables:
         return shared_folder(self.spark, label)
 
 
-QUERIES: dict[str, Query] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
 
 
 def query(sql: str):
-    def register(build):
-        QUERIES[build.__name__] = Query(build, sql)
+    """Register a query with the SQL that gives the same rows."""
+
+    def register(build: Callable[[Tables], DataFrame]):
+        @wraps(build)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return _zoneless(build(Tables(use_utc(spark), folder)))
+
+        QUERIES[build.__name__] = run
+        SQL[build.__name__] = sql
         return build
 
     return register
@@ -843,7 +842,7 @@ def silver_log(t: Tables) -> DataFrame:
     return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
 
 
-@query(QUERIES["cdr"].sql)
+@query(SQL["cdr"])
 def gold_log(t: Tables) -> DataFrame:
     """The job in the large: silver tables written, read back, joined, written, read back."""
     out = t.scratch("gold")

@@ -30,7 +30,11 @@ def run_minute(
     unit: str = "minute",
     schema: StructType = LAKE_MESSAGE,
 ) -> None:
-    """Scheduled once a minute: the last full minute of the lake into the log of each device."""
+    """Scheduled once a minute: the last full minute of the lake into the log of each device.
+
+    It appends, so a minute that is run twice is there twice; ``stream_event_log`` keeps
+    track of what it has taken over.
+    """
     arrived = read_last_minute(spark, lake, now, to=to, unit=unit, schema=schema).select(*schema.names)
     write_event_log(arrived.transform(event_log_partition_columns), event_log, key)
 

@@ -27,11 +27,16 @@ def write_stream(
     partition_by: tuple[str, ...] = (),
     once: bool = True,
     interval: str = "1 minute",
+    files: int | None = None,
 ) -> StreamingQuery:
     """Append a stream to Parquet files; a window appears once the watermark has passed it.
 
     ``once`` works off what is there and ends; otherwise a batch runs every ``interval``.
+    ``files`` brings the few rows of a batch of counts together, where every state
+    partition would otherwise write a file of its own.
     """
+    if files is not None:
+        df = df.repartition(files)
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
