@@ -91,7 +91,7 @@ def test_close_session_nested(spark):
     assert h.rows(result) == [("123", 1, 0, 2780, "2022-01-01T08:00:00+00:00", "2022-01-01T08:20:00+00:00")]
 
 
-# Start, stop, Wh and hours of closed sessions with known results.
+# Start, stop, Wh, hours and kWh of closed sessions with known results.
 KNOWN = [
     ("2023-01-01T10:43:09.900215", "2023-01-01T18:31:34.833396", 95306, 7.81, 95.31),
     ("2023-01-01T11:20:31.296429", "2023-01-01T17:56:55.669396", 78106, 6.61, 78.11),
