@@ -5,7 +5,8 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from wattline.plans.catalog import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
@@ -24,13 +25,13 @@ def text(rows):
     return sorted(tuple(repr(value) for value in row) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    result = queries()[name](spark, FOLDER)
+    result = QUERIES[name](spark, FOLDER)
     columns = sorted(result.columns)
     selected = ", ".join(f'"{column}"' for column in columns)
-    found = duck.execute(f"SELECT {selected} FROM ({oracle_sql()[name]})").fetchall()
-    wide = duck.execute(f"SELECT * FROM ({oracle_sql()[name]}) LIMIT 0").description
+    found = duck.execute(f"SELECT {selected} FROM ({SQL[name]})").fetchall()
+    wide = duck.execute(f"SELECT * FROM ({SQL[name]}) LIMIT 0").description
     assert sorted(column[0] for column in wide) == columns
     assert text(result.select(*[f"`{column}`" for column in columns]).collect()) == text(found)
 

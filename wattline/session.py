@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -40,14 +39,15 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder that every executor can reach.
+    """A fresh folder that every executor can reach; it goes when the session's JVM ends.
 
-    The cluster names its shared storage in ``spark.checkpoint.dir``. Only a local
-    session may fall back to a temporary folder of this machine.
+    One rule for every master: the folder named by ``spark.checkpoint.dir``, else a
+    folder below ``spark.sql.warehouse.dir``.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="wattline-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    folder = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
