@@ -47,13 +47,13 @@ sources AS (
 ratios AS (
     SELECT *, 3.0::DOUBLE * source_size AS ceiling, 3.0::DOUBLE * source_size / weight AS ratio FROM sources),
 levels AS (
-    SELECT ratio,
+    SELECT ratio, source,
            ((SELECT sum(source_size) FROM sources)::DOUBLE
             - coalesce(sum(ceiling) OVER (ORDER BY ratio, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
            / sum(weight) OVER (ORDER BY ratio, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
     FROM ratios),
 targets AS (
-    SELECT source, source_size, least(ceiling, weight * (SELECT min(level) FROM levels WHERE level <= ratio)) AS target
+    SELECT source, source_size, least(ceiling, weight * (SELECT arg_min(level, (ratio, source)) FROM levels WHERE level <= ratio)) AS target
     FROM ratios),
 budgets AS (
     SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS rounds
