@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import exact_dedup, mixing
+from wattline.llm import bpe, exact_dedup, mixing
 from wattline.llm.common import table
 
 
+RANKS, PATTERN = "byte_bpe_50k.tiktoken", public_tokenizers.PATTERN
+
+
+def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded and decoded again, as counts and digests."""
+    docs, path = table(spark, folder, "documents").select("doc_id", "text"), public_tokenizers.path(RANKS)
+    encoded = bpe.decode(bpe.encode(docs, path, PATTERN), path, PATTERN)
+    return encoded.select(
+        "doc_id",
+        bpe.n_tokens(F.col("token_ids")).alias("n_tokens"),
+        F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its group of equal texts."""
     return exact_dedup.copies(table(spark, folder, "documents")).select(
@@ -78,6 +94,7 @@ LEFT JOIN thresholds t ON s.source IS NOT DISTINCT FROM t.source
 
 
 QUERIES = {
+    "op2_byte_bpe": op2_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_source_mix": op10_source_mix,
 }
