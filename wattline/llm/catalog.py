@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bpe, exact_dedup, mixing
+from wattline.llm import bpe, exact_dedup, language, mixing
 from wattline.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its language, learned from those that are not held out."""
+    return language.identify(table(spark, folder, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its group of equal texts."""
     return exact_dedup.copies(table(spark, folder, "documents")).select(
@@ -95,6 +100,7 @@ LEFT JOIN thresholds t ON s.source IS NOT DISTINCT FROM t.source
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op8_language": op8_language,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_source_mix": op10_source_mix,
 }
