@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bpe, exact_dedup, language, mixing
+from wattline.llm import bpe, exact_dedup, language, mixing, near_dedup
 from wattline.llm.common import table
 
 
+def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the class of its near copies."""
+    return near_dedup.near_classes(table(spark, folder, "documents"))
+
+
 RANKS, PATTERN = "byte_bpe_50k.tiktoken", public_tokenizers.PATTERN
 
 
@@ -99,6 +104,7 @@ LEFT JOIN thresholds t ON s.source IS NOT DISTINCT FROM t.source
 
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op8_language": op8_language,
     "op9_exact_dedup": op9_exact_dedup,
