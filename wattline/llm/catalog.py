@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bpe, exact_dedup, language, mixing, near_dedup
+from wattline.llm import bpe, exact_dedup, language, mixing, near_dedup, token_files
 from wattline.llm.common import table
+from wattline.session import shared_folder
 
 
 def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,6 +31,14 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document as the token files have it."""
+    out = shared_folder(spark, "tokens")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_tokens(table(spark, folder, "documents"), out, vocabulary, end_id=2)
+    return token_files.read_tokens(spark, out, crc=True)
+
+
 def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its language, learned from those that are not held out."""
     return language.identify(table(spark, folder, "documents"))
@@ -106,6 +115,7 @@ LEFT JOIN thresholds t ON s.source IS NOT DISTINCT FROM t.source
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
+    "op7_token_files": op7_token_files,
     "op8_language": op8_language,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_source_mix": op10_source_mix,
