@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bpe, exact_dedup, language, mixing, near_dedup, token_files
+from wattline.llm import bpe, exact_dedup, language, mixing, near_dedup, neighbours, token_files
 from wattline.llm.common import table
 from wattline.session import shared_folder
 
@@ -31,6 +31,11 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest others of every twentieth vector."""
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Every document as the token files have it."""
     out = shared_folder(spark, "tokens")
@@ -115,6 +120,7 @@ LEFT JOIN thresholds t ON s.source IS NOT DISTINCT FROM t.source
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
+    "op6_neighbours": op6_neighbours,
     "op7_token_files": op7_token_files,
     "op8_language": op8_language,
     "op9_exact_dedup": op9_exact_dedup,
