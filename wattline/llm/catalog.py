@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
+import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bpe, exact_dedup, language, mixing, near_dedup, neighbours, token_files
+from wattline.llm import bpe, exact_dedup, language, mixing, near_dedup, neighbours, token_counts, token_files
 from wattline.llm.common import table
 from wattline.session import shared_folder
 
@@ -31,6 +32,15 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Words and unigram tokens of every document, with the score of the best cut."""
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    plain = (i for i in range(len(model)) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    counted = token_counts.with_token_counts(docs, [model.id_to_piece(i) for i in plain])
+    return counted.select("doc_id", "token_counts.*")
+
+
 def op6_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest others of every twentieth vector."""
     return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -120,6 +130,7 @@ LEFT JOIN thresholds t ON s.source IS NOT DISTINCT FROM t.source
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_token_counts": op4_token_counts,
     "op6_neighbours": op6_neighbours,
     "op7_token_files": op7_token_files,
     "op8_language": op8_language,
