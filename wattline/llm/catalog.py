@@ -7,7 +7,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bpe, exact_dedup, language, mixing, near_dedup, neighbours, token_counts, token_files
+from wattline.llm import bpe, exact_dedup, language, mixing, near_dedup, neighbours, token_counts, token_files, url_filter
 from wattline.llm.common import table
 from wattline.session import shared_folder
 
@@ -41,6 +41,67 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "token_counts.*")
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """Pages with a time of fetching, spread over 2024 by the page number."""
+    hours = (F.col("page_id") * 37 % 8784).cast("int")
+    return pages.select("page_id", "url", (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(hours=hours)).alias("fetched_at"))
+
+
+def list_changes(pages: DataFrame) -> DataFrame:
+    """A dated list made from the hosts of the pages: some are listed for a while, some again, some for one path."""
+    host = url_filter.host_of(F.col("url"))
+    number = F.conv(F.substring(F.md5("host"), 1, 8), 16, 10).cast("long")
+    hosts = pages.select(host.alias("host")).filter("host <> ''").distinct().withColumn("x", number)
+    changes = {
+        "x % 2 = 0": [("host", "add", "x % 150"), ("host", "remove", "x % 150 + 40 + x % 90")],
+        "x % 6 = 0": [("host", "add", "300 + x % 30")],
+        "x % 5 = 0": [("concat(host, '/en/')", "add", "x div 7 % 300")],
+        "host LIKE '%pills%' OR host LIKE '%ads-%'": [("host", "add", "0")],
+    }
+    made = [
+        F.when(F.expr(which), F.struct(F.expr(entry).alias("entry"), F.lit(action).alias("action"), F.expr(f"CAST({day} AS INT)").alias("day")))
+        for which, rows in changes.items()
+        for entry, action, day in rows
+    ]
+    listed = hosts.select(F.explode(F.array_compact(F.array(*made))).alias("change")).select("change.*")
+    at = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(days=F.col("day"))
+    return listed.select("entry", "action", at.alias("at"))
+
+
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page with the list entries that covered it when it was fetched."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return url_filter.verdicts(captures(pages), list_changes(pages)).drop("url", "fetched_at")
+
+
+OP5 = r"""
+WITH p AS (
+    SELECT page_id, url, page_id * 37 % 8784 AS hour,
+           regexp_replace(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^.*@', ''),
+                          ':[0-9]*$', '') AS host,
+           regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/+$', '') AS path
+    FROM pages),
+hosts AS (SELECT DISTINCT host, CAST(concat('0x', substr(md5(host), 1, 8)) AS BIGINT) AS x FROM p WHERE host <> ''),
+changes AS (
+    SELECT host AS key, true AS active, x % 150 AS day FROM hosts WHERE x % 2 = 0
+    UNION ALL SELECT host, false, x % 150 + 40 + x % 90 FROM hosts WHERE x % 2 = 0
+    UNION ALL SELECT host, true, 300 + x % 30 FROM hosts WHERE x % 6 = 0
+    UNION ALL SELECT host || '/en', true, x // 7 % 300 FROM hosts WHERE x % 5 = 0
+    UNION ALL SELECT host, true, 0 FROM hosts WHERE host LIKE '%pills%' OR host LIKE '%ads-%'),
+states AS (SELECT key, day, bool_and(active) AS active FROM changes GROUP BY key, day),
+spans AS (
+    SELECT *, lead(day) OVER (PARTITION BY key ORDER BY day) AS until FROM states),
+hits AS (
+    SELECT p.page_id, s.key FROM p JOIN spans s
+    ON (p.host = s.key OR ends_with(p.host, '.' || s.key) OR p.host || p.path = s.key
+        OR starts_with(p.host || p.path, s.key || '/') AND contains(s.key, '/'))
+    AND s.active AND p.hour >= s.day * 24 AND (s.until IS NULL OR p.hour < s.until * 24))
+SELECT p.page_id, 1::BIGINT AS rows, count(h.key) AS n_entries,
+       arg_min(h.key, (length(h.key), h.key)) AS entry, count(h.key) > 0 AS blocked
+FROM p LEFT JOIN hits h ON p.page_id = h.page_id GROUP BY p.page_id
+"""
+
+
 def op6_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest others of every twentieth vector."""
     return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -131,10 +192,11 @@ QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op4_token_counts": op4_token_counts,
+    "op5_url_filter": op5_url_filter,
     "op6_neighbours": op6_neighbours,
     "op7_token_files": op7_token_files,
     "op8_language": op8_language,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_source_mix": op10_source_mix,
 }
-SQL = {"op9_exact_dedup": OP9, "op10_source_mix": OP10}
+SQL = {"op5_url_filter": OP5, "op9_exact_dedup": OP9, "op10_source_mix": OP10}
