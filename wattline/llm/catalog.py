@@ -7,7 +7,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bpe, exact_dedup, language, mixing, near_dedup, neighbours, token_counts, token_files, url_filter
+from wattline.llm import bpe, exact_dedup, language, line_dedup, mixing, near_dedup, neighbours, token_counts, token_files, url_filter
 from wattline.llm.common import table
 from wattline.session import shared_folder
 
@@ -32,6 +32,14 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the number of lines it loses and the digest of what is left."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.without_duplicate_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Words and unigram tokens of every document, with the score of the best cut."""
     model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
@@ -191,6 +199,7 @@ LEFT JOIN thresholds t ON s.source IS NOT DISTINCT FROM t.source
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_line_dedup": op3_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_url_filter": op5_url_filter,
     "op6_neighbours": op6_neighbours,

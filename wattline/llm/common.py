@@ -42,6 +42,20 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def possibly_in(rows: DataFrame, keys: DataFrame, column: str, bits: int = 22) -> DataFrame:
+    """The rows whose ``column`` is among ``keys``, and perhaps some others, without shuffling the rows.
+
+    A bitmap of the keys' hashes, at most 2 ** ``bits`` bits in rows of 64 (about 1 MB for 22 bits), is
+    broadcast. The more keys, the more other rows pass; none with a key is lost. Null is no key.
+    """
+    place = f"shiftrightunsigned(xxhash64(`{column}`), {64 - bits})"
+    cell, bit = F.expr(f"shiftright({place}, 6)"), F.expr(f"shiftleft(1L, CAST({place} & 63 AS INT))")
+    names = fresh(rows, "cell"), fresh(rows, "cell_bits")
+    bitmap = keys.filter(F.col(column).isNotNull()).groupBy(cell.alias(names[0])).agg(F.bit_or(bit).alias(names[1]))
+    kept = rows.withColumn(names[0], cell).join(F.broadcast(bitmap), names[0])
+    return kept.filter(F.col(names[1]).bitwiseAND(bit) != 0).select(*rows.columns)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once for each application."""
     context = spark.sparkContext
