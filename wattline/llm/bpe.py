@@ -19,11 +19,12 @@ import base64
 import hashlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 from wattline.llm.common import ship, slices, spread_out
 from wattline.llm.pieces import AT_ONCE, ChunkCache
@@ -33,7 +34,7 @@ EMPTY = np.int64(-1)
 WIDTHS = (4, 8, 12, 16, 24, 32, 48, 64, 128, 256)
 #: The tokenizer's white space; the pattern's \s means this.
 WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-CELLS = 4_000_000
+CELLS = 400_000
 
 
 class PairTable:
@@ -236,24 +237,36 @@ class Bpe:
         ids[at] = rank
         return np.delete(ids, at + 1)
 
-    def encode_texts(self, texts: list[str]) -> list[bytes]:
-        rows = []
-        for ids, counts in self.cache.texts(texts):
-            packed, ends = ids.astype("<u4").tobytes(), np.cumsum(counts) * 4
-            rows += [packed[end - size : end] for end, size in zip(ends.tolist(), (counts * 4).tolist())]
-        return rows
-
-    def decode_rows(self, rows: list[bytes]) -> list[bytes]:
-        texts = []
-        for part in slices([len(row) for row in rows], 4 * AT_ONCE):
-            ids = np.frombuffer(b"".join(rows[part]), "<u4").astype(np.int64)
-            sizes = self.lengths[ids]
-            raw = self.bytes[spread_out(self.starts[ids], sizes)].tobytes()
-            ends = np.concatenate(([0], np.cumsum(sizes)))
-            last = np.cumsum([len(row) // 4 for row in rows[part]])
-            bounds = ends[np.concatenate(([0], last))]
-            texts += [raw[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-        return texts
+    def encode_texts(self, texts: pa.Array) -> pa.Array:
+        """Texts as ids: little-endian unsigned 32-bit integers."""
+        sizes, made, counts = pc.fill_null(pc.binary_length(texts), 0).to_pylist(), [], []
+        for part in slices(sizes, AT_ONCE):
+            some = texts.slice(part.start, part.stop - part.start).to_pylist()
+            for ids, numbers in self.cache.texts([text or "" for text in some]):
+                made.append(ids.astype("<u4"))
+                counts.append(numbers)
+        return _binary(made, 4 * np.concatenate([np.zeros(0, np.int64), *counts]))
+
+    def decode_rows(self, rows: pa.Array) -> pa.Array:
+        """Ids as the bytes of their tokens."""
+        sizes, made, counts = pc.fill_null(pc.binary_length(rows), 0).to_pylist(), [], []
+        for part in slices(sizes, 4 * AT_ONCE):
+            some = [row or b"" for row in rows.slice(part.start, part.stop - part.start).to_pylist()]
+            ids = np.frombuffer(b"".join(some), "<u4").astype(np.int64)
+            lengths = self.lengths[ids]
+            made.append(self.bytes[spread_out(self.starts[ids], lengths)])
+            ends = np.concatenate(([0], np.cumsum(lengths)))
+            last = np.cumsum([len(row) // 4 for row in some])
+            counts.append(np.diff(ends[np.concatenate(([0], last))]))
+        return _binary(made, np.concatenate([np.zeros(0, np.int64), *counts]))
+
+
+def _binary(parts: list[np.ndarray], sizes: np.ndarray) -> pa.Array:
+    """A column of byte strings of the given sizes, cut from all parts together."""
+    raw = np.concatenate([np.zeros(0, np.uint8), *(part.view(np.uint8) for part in parts)])
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+    long = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+    return long.cast(pa.binary())
 
 
 _LOADED: dict[tuple[str, str], Bpe] = {}
@@ -277,22 +290,22 @@ def encoder(docs: DataFrame, path: str, pattern: str):
     """A function from a text column to its ids; the rank file (under 1 MB) is broadcast."""
     file = _shared_file(docs, path)
 
-    @pandas_udf("binary")
-    def encode_column(texts: pd.Series) -> pd.Series:
-        return pd.Series(loaded(file.value, pattern).encode_texts([text or "" for text in texts]), dtype=object)
+    @arrow_udf("binary")
+    def encode_column(texts: pa.Array) -> pa.Array:
+        return loaded(file.value, pattern).encode_texts(texts)
 
-    return lambda column: encode_column(column)
+    return encode_column
 
 
 def decoder(docs: DataFrame, path: str, pattern: str):
     """A function from a column of ids to the bytes of the text."""
     file = _shared_file(docs, path)
 
-    @pandas_udf("binary")
-    def decode_column(rows: pd.Series) -> pd.Series:
-        return pd.Series(loaded(file.value, pattern).decode_rows([bytes(row or b"") for row in rows]), dtype=object)
+    @arrow_udf("binary")
+    def decode_column(rows: pa.Array) -> pa.Array:
+        return loaded(file.value, pattern).decode_rows(rows)
 
-    return lambda column: decode_column(column)
+    return decode_column
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -20,7 +20,7 @@ from wattline.llm.common import slices, spread_out
 LOOSE = re.compile(r" (?!\S)")
 BOUNDARY = re.compile(r" (?=\S)")
 #: Characters handled at once, and chunks remembered, in one worker.
-AT_ONCE, REMEMBERED = 4_000_000, 1 << 20
+AT_ONCE, REMEMBERED = 1_500_000, 1 << 19
 
 
 def space_chunks(text: str) -> list[str]:
@@ -37,7 +37,7 @@ class ChunkCache:
 
     def _clear(self) -> None:
         self.codes: dict[str, int] = {}
-        self.ids = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)
         self.counts = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
 
@@ -52,29 +52,27 @@ class ChunkCache:
             # no chunk after a boundary begins with white space.
             firsts = ["\n" + chunks[0] for chunks in cut]
             later = list(chain.from_iterable(chunks[1:] for chunks in cut))
-            self._learn(firsts, later)
             codes = np.empty(int(sizes.sum()), np.int64)
             first_at = np.cumsum(sizes) - sizes
             is_first = np.zeros(len(codes), bool)
             is_first[first_at] = True
-            find = self.codes.__getitem__
-            codes[first_at] = np.fromiter(map(find, firsts), np.int64, len(firsts))
-            codes[~is_first] = np.fromiter(map(find, later), np.int64, len(later))
+            codes[first_at] = self._codes(firsts, lambda key: key[1:])
+            codes[~is_first] = self._codes(later, lambda key: " " + key)
             counts = self.counts[codes]
             ids = self.ids[spread_out(self.starts[codes], counts)]
             yield ids, np.add.reduceat(counts, first_at)
 
-    def _learn(self, firsts: list[str], later: list[str]) -> None:
-        known = self.codes
-        missing = [key for key in dict.fromkeys(firsts) if key not in known]
-        strings = [key[1:] for key in missing]
-        after = [key for key in dict.fromkeys(later) if key not in known]
-        missing += after
-        strings += [" " + key for key in after]
-        if not missing:
-            return
-        ids, counts = self.encode(strings)
-        known.update(zip(missing, range(len(self.counts), len(self.counts) + len(missing))))
-        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(counts) - counts))
-        self.counts = np.concatenate((self.counts, counts))
-        self.ids = np.concatenate((self.ids, ids))
+    def _codes(self, keys: list[str], string: Callable[[str], str]) -> np.ndarray:
+        """The codes of chunks; new ones are encoded. ``string`` gives the text of a key."""
+        codes = np.fromiter(map(self.codes.get, keys, repeat(-1)), np.int64, len(keys))
+        unknown = np.flatnonzero(codes < 0)
+        if len(unknown):
+            missing = [keys[i] for i in unknown.tolist()]
+            new = list(dict.fromkeys(missing))
+            ids, counts = self.encode([string(key) for key in new])
+            self.codes.update(zip(new, range(len(self.counts), len(self.counts) + len(new))))
+            self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(counts) - counts))
+            self.counts = np.concatenate((self.counts, counts))
+            self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
+            codes[unknown] = np.fromiter(map(self.codes.__getitem__, missing), np.int64, len(missing))
+        return codes
