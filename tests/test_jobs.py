@@ -1,6 +1,7 @@
 """Whole jobs on a small log with open, unmatched, repeated and dirty messages."""
 
 import json
+import re
 from datetime import datetime
 
 import pytest
@@ -9,15 +10,18 @@ from pyspark.sql import functions as F
 from tests import helpers as h
 from wattline import schemas
 from wattline.operators.checks import audit, committed, data_files, schema_differences
+from wattline.operators.messages import messages, reshape_meter_values, unpack_json
 from wattline.plans import gold, silver
 from wattline.sources.listing import is_committed, list_output, list_tree
+from wattline.schemas import MESSAGE, SESSION_SAMPLES
 from wattline.sources.tables import read_parquet
+from wattline.streaming.status import count_statuses
 
 WRITTEN = "2023-01-01T09:00:00.000000+00:00"
 
 
 def message(message_id, kind, action, body):
-    return (message_id, kind, "AL1000", action, WRITTEN, body if body is None else json.dumps(body))
+    return (message_id, kind, "plug-1", action, WRITTEN, body if body is None else json.dumps(body))
 
 
 def session(tx, start, stop, wh, samples):
@@ -33,7 +37,7 @@ def session(tx, start, stop, wh, samples):
     for i, (at, value) in enumerate(samples):
         wire = [h.sample(value, "Power.Active.Import", None), h.sample("0", "Power.Active.Import", "L1"), h.sample("0", "Voltage", None)]
         body = h.meter_body((at, wire), transaction_id=tx)
-        rows.append((f"meter{tx}-{i}", 2, "AL1000", "MeterValues", WRITTEN, body))
+        rows.append((f"meter{tx}-{i}", 2, "plug-1", "MeterValues", WRITTEN, body))
     return rows
 
 
@@ -49,7 +53,7 @@ def log(spark):
         message("stop1", 3, "StopTransaction", {"id_tag_info": None}),
         message("hb", 2, "Heartbeat", {}),
         message("nobody", 2, "MeterValues", None),
-        ("broken", 2, "AL1000", "StopTransaction", WRITTEN, "{oops"),
+        ("broken", 2, "plug-1", "StopTransaction", WRITTEN, "{oops"),
     ]
     return spark.createDataFrame(rows, schemas.MESSAGE)
 
@@ -147,3 +151,17 @@ def test_silver_reads_only_its_row_groups_of_a_bronze_log(spark, out):
     table = silver.stop_transaction_requests(spark.read.parquet(out))
     text = h.physical(table)
     assert "EqualTo(action,StopTransaction)" in text and "EqualTo(message_type,2)" in text
+
+
+def test_jobs_parse_only_what_they_use(spark):
+    log = spark.createDataFrame([], MESSAGE)
+    plan = h.physical(gold.charge_detail_records_from_log(log))
+    for unused in ("connector_id", "id_tag", "reservation_id", "reason", "transaction_data", "vendor_id", "unit"):
+        assert unused not in plan
+    stream = h.physical(log.transform(count_statuses))
+    assert "error_code" not in stream and "StructField(status" in stream
+    # A reading's time is parsed by the explode that makes it, and nowhere else.
+    samples = log.transform(messages, "MeterValues", 2).transform(unpack_json, SESSION_SAMPLES)
+    text = h.physical(samples.transform(reshape_meter_values).filter("timestamp IS NOT NULL"))
+    parsing = [line for line in text.splitlines() if re.search(r"reading#\d+\.timestamp", line)]
+    assert len(parsing) == 1 and "Generate" in parsing[0]

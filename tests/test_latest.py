@@ -11,9 +11,9 @@ from wattline.schemas import MESSAGE
 
 
 def heartbeats(spark):
-    times = [("AL1000", "15:30"), ("AL1000", "15:32"), ("AL2000", "15:34"), ("AL2000", "15:36")]
+    times = [("east", "04:10"), ("east", "04:55"), ("west", "05:01"), ("west", "05:20")]
     return spark.createDataFrame(
-        [(device, f"2022-10-02T{t}:17.000345+00:00", "Heartbeat", "{}") for device, t in times],
+        [(device, f"2023-03-04T{t}:09.000071+00:00", "Heartbeat", "{}") for device, t in times],
         "charge_point_id string, write_timestamp string, action string, body string",
     ).transform(with_event_time)
 
@@ -24,8 +24,8 @@ def test_newest_row_of_each_device(spark):
         "charge_point_id", "write_timestamp", "action", "body", "converted_timestamp", "rn",
     ]
     assert h.rows(result.select("charge_point_id", "converted_timestamp", "rn")) == [
-        ("AL1000", datetime(2022, 10, 2, 15, 32, 17, 345), 1),
-        ("AL2000", datetime(2022, 10, 2, 15, 36, 17, 345), 1),
+        ("east", datetime(2023, 3, 4, 4, 55, 9, 71), 1),
+        ("west", datetime(2023, 3, 4, 5, 20, 9, 71), 1),
     ]
     clean = result.transform(drop_helpers)
     assert clean.columns == ["charge_point_id", "action", "body", "converted_timestamp"]

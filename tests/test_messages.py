@@ -8,11 +8,11 @@ from wattline.operators import messages as m
 from wattline.sources.tables import frame_from_records
 
 ENVELOPE = "message_id string, message_type int, charge_point_id string, action string, write_timestamp string, body string"
-WRITTEN = "2022-10-02T15:30:17.000345+00:00"
+WRITTEN = "2023-05-06T07:08:09.000123+00:00"
 
 
 def log(spark, *bodies, action="StartTransaction", kind=2):
-    data = [(f"m{i}", kind, "AL1000", action, WRITTEN, body) for i, body in enumerate(bodies)]
+    data = [(f"m{i}", kind, "plug-1", action, WRITTEN, body) for i, body in enumerate(bodies)]
     return spark.createDataFrame(data, ENVELOPE)
 
 
@@ -124,7 +124,7 @@ def test_flatten_start_request(spark):
     ]
     assert result.schema["timestamp"].dataType == T.StringType()
     assert h.rows(result) == [
-        ("m0", 2, "AL1000", "StartTransaction", WRITTEN, 1, h.TAG, 0, "2022-01-01T08:00:00+00:00", None)
+        ("m0", 2, "plug-1", "StartTransaction", WRITTEN, 1, h.TAG, 0, "2022-01-01T08:00:00+00:00", None)
     ]
 
 
@@ -155,7 +155,7 @@ SAMPLE_COLUMNS = [
 def meter_log(spark):
     return log(
         spark,
-        h.meter_body((WRITTEN, h.full_reading()), ("2022-10-02T15:35:17Z", h.full_reading()[:3])),
+        h.meter_body((WRITTEN, h.full_reading()), ("2023-05-06T07:13:09Z", h.full_reading()[:3])),
         h.meter_body((WRITTEN, [h.sample("n/a", "Power.Active.Import", None)]), ("bad time", h.full_reading()[:1])),
         h.meter_body((WRITTEN, [])),
         '{"connector_id": 1, "meter_value": [], "transaction_id": 1}',
@@ -173,7 +173,7 @@ def test_flatten_samples(spark, schema):
     counts = dict(h.rows(result.groupBy("message_id").count()))
     assert counts == {"m0": 24, "m1": 2}
     dirty = result.filter("message_id = 'm1'").select("timestamp", "value")
-    assert [tuple(r) for r in dirty.collect()].count((None, 1.5)) == 1
+    assert [tuple(r) for r in dirty.collect()].count((None, 40.0)) == 1
     assert result.filter("value is null").count() == 1
 
 

@@ -42,13 +42,13 @@ def test_match_start_nested_drops_responses_without_request(spark):
     columns = "charge_point_id string, message_id string, body string"
     second = h.START_RESPONSE_BODY.replace('"transaction_id": 1', '"transaction_id": 2')
     responses = spark.createDataFrame(
-        [("AL1000", "m1", h.START_RESPONSE_BODY), ("AL1000", "m2", second)], columns
+        [("plug-1", "m1", h.START_RESPONSE_BODY), ("plug-1", "m2", second)], columns
     ).transform(unpack_json, schemas.START_RESPONSE)
-    requests = spark.createDataFrame([("AL1000", "m1", h.START_REQUEST_BODY)], columns).transform(
+    requests = spark.createDataFrame([("plug-1", "m1", h.START_REQUEST_BODY)], columns).transform(
         unpack_json, schemas.START_REQUEST
     )
     result = responses.transform(s.match_start, requests)
-    assert h.rows(result) == [("AL1000", 1, 0, "2022-01-01T08:00:00+00:00")]
+    assert h.rows(result) == [("plug-1", 1, 0, "2022-01-01T08:00:00+00:00")]
 
 
 def test_match_start_ignores_missing_ids_and_keeps_repeats(spark):

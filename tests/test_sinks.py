@@ -12,8 +12,8 @@ from wattline.plans.bronze import write_bronze
 from wattline.schemas import LAKE_MESSAGE, MESSAGE
 from wattline.session import shared_folder
 from wattline.sinks.tables import lake_format, write_event_log, write_log_partitioned, write_table
-from wattline.sources.listing import exists, is_committed, layout_report, list_output, list_tree
-from wattline.sources.tables import read_last_minute, read_message_log, read_parquet, spread
+from wattline.sources.listing import exists, is_committed, layout_report, list_children, list_output, list_tree
+from wattline.sources.tables import read_last_minute, read_message_log, read_parquet
 
 
 def log(spark, times, device="d"):
@@ -158,12 +158,6 @@ def test_shared_folder_follows_the_cluster_setting(spark):
     assert base is None or first.startswith(base)
 
 
-def test_spread_only_where_cores_idle(spark):
-    few, many = spark.range(0, 10, 1, 1), spark.range(0, 10, 1, 16)
-    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(many) is many
-
-
 def test_filter_on_a_kind_skips_row_groups_of_the_bronze_log(spark, out):
     df = spark.range(60000).select(
         F.concat(F.lit("m"), "id").alias("message_id"),
@@ -188,3 +182,25 @@ def test_filter_on_a_kind_skips_row_groups_of_the_bronze_log(spark, out):
         return plan.collectLeaves().head().metrics().apply("numOutputRows").value()
 
     assert read(starts.select("body")) < 20000
+
+
+def test_missing_lake_is_an_error(spark, out):
+    with pytest.raises(FileNotFoundError):
+        read_last_minute(spark, f"{out}/nowhere", h.utc(2023, 1, 1, 9))
+
+
+def test_stream_adds_one_file_per_device_and_day(spark, out):
+    rows = [(f"m{i}", 2, f"d{i % 20}", "Heartbeat", "2023-01-01T09:00:00+00:00", "{}", i) for i in range(400)]
+    df = spark.createDataFrame(rows, LAKE_MESSAGE).repartition(4)
+    df.write.parquet(f"{out}/lake")
+    lake.stream_event_log(spark, f"{out}/lake", f"{out}/log", f"{out}/checkpoint").awaitTermination()
+    assert spark.read.parquet(f"{out}/log").count() == 400
+    assert {r.files for r in layout_report(spark, f"{out}/log").collect()} == {1}
+    assert layout_report(spark, f"{out}/log").count() == 20
+
+
+def test_leaves_of_repeated_names_stay_apart(spark, out):
+    for x in (1, 2):
+        spark.range(1).coalesce(1).write.parquet(f"{out}/log/x={x}/log/y=1")
+    assert sorted(r.leaf for r in layout_report(spark, f"{out}/log").collect()) == ["x=1/log/y=1", "x=2/log/y=1"]
+    assert h.rows(list_children(spark, f"{out}/log").select("name", "files")) == [("x=1/", 1), ("x=2/", 1)]

@@ -11,11 +11,11 @@ from wattline.operators.checks import audit, data_files
 from wattline.operators.status import status_counts
 from wattline.schemas import STREAM_MESSAGE
 from wattline.sources.listing import list_output
-from wattline.sources.streams import read_message_stream, replay_messages
+from wattline.sources.streams import read_message_stream
 from wattline.sources.tables import read_parquet
 from wattline.streaming.status import count_statuses, write_stream
 
-DEVICE = "444984d5-0b9c-474e-a972-71347941ae0e"
+DEVICE = "plug-7"
 COUNTS = T.StructType(
     [
         T.StructField("charge_point_id", T.StringType(), True),
@@ -127,24 +127,9 @@ def test_stream_equals_batch_on_closed_windows(spark, out):
 
 
 def test_message_stream_passes_rows_through(spark, out):
-    df = messages(spark, (0, "430ca2a2", "StatusNotification", 2, "123"), (1, None, None, None, None))
+    df = messages(spark, (0, "plug-8", "StatusNotification", 2, "123"), (1, None, None, None, None))
     df.write.json(f"{out}/in")
     stream = read_message_stream(spark, f"{out}/in", "json")
     assert stream.isStreaming and stream.schema == STREAM_MESSAGE
     write_stream(stream, f"{out}/copy", f"{out}/checkpoint").awaitTermination()
     assert h.rows(read_parquet(spark, f"{out}/copy", STREAM_MESSAGE)) == h.rows(df)
-
-
-def test_replay_joins_a_rate_source_to_the_log(spark):
-    log = messages(spark, *[report(i, "2023-01-01T09:00:00") for i in range(4)])
-    stream = replay_messages(spark, log, "rate-micro-batch", rowsPerBatch="3", numPartitions="1")
-    assert stream.columns == log.columns
-    query = stream.writeStream.format("memory").queryName("replayed").start()
-    try:
-        while query.lastProgress is None or query.lastProgress["batchId"] < 1:
-            query.awaitTermination(0.2)
-            if query.exception():
-                raise query.exception()
-    finally:
-        query.stop()
-    assert {r.value for r in spark.table("replayed").collect()} == {0, 1, 2, 3}

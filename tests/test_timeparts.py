@@ -54,10 +54,10 @@ def test_parts_of_a_bad_time_are_null(spark):
 
 
 def test_event_time_is_appended(spark):
-    df = spark.createDataFrame([("a", "2022-10-02T15:30:17.000345+00:00")], "message_id string, write_timestamp string")
+    df = spark.createDataFrame([("a", "2023-05-06T07:08:09.000123+00:00")], "message_id string, write_timestamp string")
     result = df.transform(tp.with_event_time)
     assert result.schema == T.StructType(df.schema.fields + [T.StructField("converted_timestamp", T.TimestampType())])
-    assert result.first().converted_timestamp == datetime(2022, 10, 2, 15, 30, 17, 345)
+    assert result.first().converted_timestamp == datetime(2023, 5, 6, 7, 8, 9, 123)
 
 
 @pytest.mark.parametrize(
@@ -99,3 +99,14 @@ def test_time_slice_prunes_partitions(spark, out):
     text = h.physical(result)
     filters = text[text.index("PartitionFilters: [") :].split("]")[0]
     assert all(f"({part}#" in filters for part in tp.parts_to("minute"))
+
+
+def test_half_a_time_is_no_time(spark):
+    full = ["2023-01-02T03:04:05Z", "2023-01-02T03:04:05.000006+00:00", "2023-01-02T03:04:05.000+0000", "2023-01-02 03:04:05"]
+    half = ["12:30", "T09:00", "2023", "2023-01", "2023-01-02", "2023-01-02T03", "2023-01-02T03:04", "", "soon", "2023-13-02T03:04:05Z"]
+    df = spark.createDataFrame([(text,) for text in [*full, *half, None]], "write_timestamp string")
+    found = df.transform(tp.with_event_time).collect()
+    assert all(row.converted_timestamp is not None for row in found[: len(full)])
+    assert all(row.converted_timestamp is None for row in found[len(full) :])
+    typed = spark.sql("select timestamp'2023-01-02 03:04:05' write_timestamp")
+    assert typed.transform(tp.with_event_time).first().converted_timestamp is not None

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from wattline.functions import iso_text
 from wattline.schemas import MESSAGE, REQUEST, RESPONSE
-from wattline.sources.tables import spread
 
 JSON = {"ignoreNullFields": "false"}
 SECOND_READING = "INTERVAL 6 HOURS"
@@ -171,16 +170,27 @@ ACTIONS = ("StartTransaction", "StopTransaction", "MeterValues", "StatusNotifica
 
 
 def charging_log(
-    orders: DataFrame, lineitem: DataFrame, events: DataFrame, actions: Sequence[str] = ACTIONS
+    orders: DataFrame,
+    lineitem: DataFrame,
+    events: DataFrame,
+    actions: Sequence[str] = ACTIONS,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """The raw log of the given actions; a filter on one kind of message leaves only its branch."""
-    orders = spread(orders)
+    """The raw log of the given actions; a filter on one kind of message leaves only its branch.
+
+    ``tasks`` deals meter lines and events out to that many tasks before their bodies are built. It is for
+    a caller that knows its tables to be a few small files; by default nothing is shuffled.
+    """
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df if tasks is None else df.repartition(tasks)
+
     facts = session_facts(orders, lineitem)
     kinds = {
         "StartTransaction": lambda: start_requests(facts).unionByName(start_responses(orders)),
         "StopTransaction": lambda: stop_requests(facts),
-        "MeterValues": lambda: meter_values(spread(lineitem)),
-        "StatusNotification": lambda: status_notifications(spread(events)),
+        "MeterValues": lambda: meter_values(dealt(lineitem)),
+        "StatusNotification": lambda: status_notifications(dealt(events)),
     }
     return reduce(DataFrame.unionByName, [kinds[action]() for action in actions])
 

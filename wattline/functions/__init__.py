@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: A date, a time of day to the second, a fraction and an offset if there are any.
+ISO_TIME = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?( ?(Z|UTC|[+-][0-9]{2}(:?[0-9]{2})?))?\s*$"
 MICROS_PER_HOUR = 3_600_000_000
 
 
 def event_time(column: str | Column) -> Column:
     """ISO-8601 text to an instant; text that is no time becomes null, not an error.
 
-    Accepts ``Z``, ``+00:00`` and ``+0000`` offsets, and passes timestamps through.
+    Accepts ``Z``, ``+00:00`` and ``+0000`` offsets, and passes timestamps through. A text must have
+    its date and its time of day: Spark alone would read ``12:30`` as a time of the current day.
     """
-    return F.try_to_timestamp(_column(column))
+    time = _column(column)
+    full = (F.typeof(time) != "string") | F.rlike(time.cast("string"), F.lit(ISO_TIME))
+    return F.when(full, F.try_to_timestamp(time))
 
 
 def iso_text(column: str | Column, offset: str = "xxx") -> Column:

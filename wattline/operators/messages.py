@@ -78,14 +78,17 @@ def _samples(df: DataFrame, struct: str, envelope: list[str], ids: tuple[str, ..
     body = F.col(struct)
     kept = [*envelope, *ids]
     # Each explode is given only what its rows will need: no row carries the struct or the
-    # array it came from, and the time is parsed once per reading instead of per sample.
+    # array it came from. The time comes out of an explode of its own, once per reading; a
+    # condition on it would else be pushed below the samples and parse it again.
     bodies = df.select(
         *envelope,
         *[body.getField(name).alias(name) for name in ids],
         body.getField("meter_value").alias("readings"),
     )
     readings = bodies.select(*kept, F.explode("readings").alias("reading")).select(
-        *kept, event_time("reading.timestamp").alias("timestamp"), F.col("reading.sampled_value").alias("samples")
+        *kept,
+        F.explode(F.array(event_time("reading.timestamp"))).alias("timestamp"),
+        F.col("reading.sampled_value").alias("samples"),
     )
     return readings.select(*kept, "timestamp", F.explode("samples").alias("sample")).select(
         *kept,

@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType, TimestampType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
 
 from wattline import bindings
 from wattline.operators import checks, order
@@ -54,6 +54,7 @@ from wattline.schemas import (
     START_REQUEST,
     START_RESPONSE,
     STATUS_NOTIFICATION,
+    STATUS_REPORT,
     STOP_REQUEST,
     STREAM_MESSAGE,
     with_wide_ids,
@@ -71,6 +72,9 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        # Set by a caller that knows its tables to be small files, such as the benchmark.
+        tasks = spark.conf.get("wattline.bindings.tasks", None)
+        self.tasks = None if tasks is None else int(tasks)
         self._cache: dict = {}
 
     def _once(self, key, build: Callable[[], DataFrame]) -> DataFrame:
@@ -86,7 +90,7 @@ class Tables:
         return self._once(
             actions,
             lambda: bindings.charging_log(
-                self["orders"], self["lineitem"], self["events"], actions or bindings.ACTIONS
+                self["orders"], self["lineitem"], self["events"], actions or bindings.ACTIONS, self.tasks
             ),
         )
 
@@ -714,6 +718,20 @@ def status_counts_stream(t: Tables) -> DataFrame:
     return read_parquet(t.spark, f"{out}/counts", counts.schema).transform(_flat_window)
 
 
+@query(f"""
+SELECT * FROM ({COUNTS_SQL.replace("FROM events", "FROM (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00')")})
+WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""")
+def status_counts_late(t: Tables) -> DataFrame:
+    """The first days arrive after the others were worked off: their reports come behind the watermark."""
+    out = t.scratch("status-late")
+    events, cut = t["events"], F.lit("2024-01-10").cast("timestamp_ntz")
+    for part in (F.col("ts") >= cut, F.col("ts") < cut):
+        bindings.status_notifications(events.filter(part)).write.mode("append").parquet(f"{out}/in")
+        counts = count_statuses(streams.read_message_stream(t.spark, f"{out}/in", schema=MESSAGE))
+        write_stream(counts, f"{out}/counts", f"{out}/checkpoint").awaitTermination()
+    return read_parquet(t.spark, f"{out}/counts", counts.schema).transform(_flat_window)
+
+
 @query(f"WITH {SESSIONS} SELECT * FROM sessions ORDER BY transaction_id LIMIT 3")
 def top_k_sessions(t: Tables) -> DataFrame:
     return _sessions(t).transform(order.top_k, 3, "transaction_id")
@@ -771,6 +789,38 @@ def check_events(t: Tables) -> DataFrame:
     )
 
 
+@query("""
+SELECT 'nulls(converted_timestamp)' AS "check", count(*) FILTER (event_id % 5 > 1) AS observed,
+       count(*) FILTER (event_id % 5 > 1) = 0 AS passed
+FROM events""")
+def check_times(t: Tables) -> DataFrame:
+    """Times cut to the clock, the year or the month are no event times, whatever the day of the run."""
+    time, number = F.col("write_timestamp"), F.col("message_id").cast("long") % 5
+    damaged = (
+        F.when(number == 1, F.translate(F.substring(time, 1, 19), "T", " "))
+        .when(number == 2, F.substring(time, 12, 8))
+        .when(number == 3, F.substring(time, 1, 4))
+        .when(number == 4, F.substring(time, 1, 7))
+        .otherwise(time)
+    )
+    events = t.events.withColumn("write_timestamp", damaged).transform(with_event_time)
+    return events.transform(checks.audit, checks.nulls("converted_timestamp"))
+
+
+@query("""
+SELECT 'nulls(timestamp)' AS "check", count(*) FILTER (event_id % 3 = 0) AS observed,
+       count(*) FILTER (event_id % 3 = 0) = 0 AS passed
+FROM events""")
+def check_reports(t: Tables) -> DataFrame:
+    """Status reports that no window counts, because their time can't be read."""
+    body = F.when(F.col("user_event") % 3 == 0, F.regexp_replace("body", "T[0-9:.]*", "")).otherwise(F.col("body"))
+    reports = bindings.status_notifications(t["events"]).withColumn(
+        "user_event", F.regexp_extract("message_id", "[0-9]+", 0).cast("long")
+    )
+    read = reports.withColumn("body", body).transform(unpack_json, STATUS_REPORT).transform(select_status)
+    return read.transform(checks.audit, checks.nulls("timestamp"))
+
+
 @query(f"""
 WITH {SESSIONS}, {PARKING},
 records AS (SELECT * FROM sessions LEFT JOIN parking USING (transaction_id))
@@ -798,7 +848,7 @@ def check_sample(t: Tables) -> DataFrame:
         .select(F.col("o_orderkey").alias("transaction_id"), F.col("o_custkey").cast("string").alias("charge_point_id"))
         .transform(order.top_k, 3, "transaction_id")
     )
-    return _sessions(t).transform(checks.sample_differences, golden, "transaction_id")
+    return _sessions(t).transform(checks.sample_differences, golden, 3, "transaction_id")
 
 
 # --- written tables ----------------------------------------------------------
@@ -889,7 +939,7 @@ def lake_layout(t: Tables) -> DataFrame:
 
 @query("SELECT DISTINCT 'month=' || month(ts) || '/' AS name FROM events WHERE year(ts) = 2024")
 def lake_months(t: Tables) -> DataFrame:
-    return listing.list_output(t.spark, f"{_lake(t)}/year=2024").select("name")
+    return listing.list_children(t.spark, f"{_lake(t)}/year=2024").select("name")
 
 
 @query("""
@@ -900,10 +950,43 @@ SELECT 'domain(name)', count(DISTINCT month(ts)) FILTER (month(ts) <> 1),
        count(DISTINCT month(ts)) FILTER (month(ts) <> 1) = 0 AND bool_or(month(ts) = 1)
 FROM events WHERE year(ts) = 2024""")
 def check_layout(t: Tables) -> DataFrame:
-    months = listing.list_output(t.spark, f"{_lake(t)}/year=2024")
+    months = listing.list_children(t.spark, f"{_lake(t)}/year=2024")
     return months.transform(checks.audit, checks.row_count(exact=1), checks.domain("name", ["month=1/"]))
 
 
+@query(HOURS_SQL.format(rest="count(*) AS messages, 1::BIGINT AS files"))
+def bronze_layout(t: Tables) -> DataFrame:
+    """Exactly one file in the directory of every hour."""
+    out = t.scratch("bronze")
+    bronze.write_bronze(t.events, out, one_file=True)
+    parts = parts_to("hour")
+    schema = StructType([StructField("message_id", StringType()), *(StructField(p, IntegerType()) for p in parts)])
+    rows = t.spark.read.schema(schema).parquet(out).groupBy(*parts).agg(F.count("message_id").alias("messages"))
+    leaf = F.concat_ws("/", *[F.concat(F.lit(f"{part}="), part) for part in parts]).alias("leaf")
+    files = listing.layout_report(t.spark, out).select("leaf", "files")
+    return rows.withColumn("leaf", leaf).join(files, "leaf").drop("leaf")
+
+
+@query("""
+SELECT name, "check", 1::BIGINT AS observed, true AS passed
+FROM (VALUES ('StartTransactionRequest'), ('StartTransactionResponse'), ('StopTransactionRequest'),
+             ('MeterValuesRequest'), ('cdr')) names(name), (VALUES ('data_files'), ('committed')) checks("check")""")
+def table_layout(t: Tables) -> DataFrame:
+    """One file and the marker of a finished job in each silver table and in the gold table."""
+    out = t.scratch("tables")
+    silver.write_silver(t.log(), out, wide_ids=True, files=1)
+    tables = silver.silver_tables(t.log(), wide_ids=True)
+    written = {name: read_parquet(t.spark, f"{out}/{name}", table.schema) for name, table in tables.items()}
+    gold.write_gold(gold.charge_detail_records_from_silver(written), out, files=1)
+    found = [
+        listing.list_output(t.spark, f"{out}/{name}")
+        .transform(checks.audit, checks.data_files(exact=1), checks.committed())
+        .withColumn("name", F.lit(name))
+        for name in (*tables, "cdr")
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 EVENT_LOG_SQL = """
 SELECT event_type AS action, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
        CAST(day(ts) AS INTEGER) AS day, count(*) AS messages
@@ -941,6 +1024,36 @@ def event_log_stream(t: Tables) -> DataFrame:
     return _log_counts(t, f"{out}/log")
 
 
+@query("""
+SELECT event_type AS action, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+       CAST(day(ts) AS INTEGER) AS day, count(*) AS messages, 1::BIGINT AS files
+FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00' GROUP BY ALL""")
+def event_log_compacted(t: Tables) -> DataFrame:
+    """A log of three appends: its closed days have the same rows in one file each."""
+    out = t.scratch("event-log")
+    for part in range(3):
+        rows = t.events.filter(F.col("message_id").cast("long") % 3 == part)
+        write_event_log(rows.transform(event_log_partition_columns), f"{out}/log", key="action")
+    lake.compact_event_log(t.spark, f"{out}/log", f"{out}/compacted", datetime(2024, 1, 20), key="action")
+    leaf = F.concat_ws("/", *[F.concat(F.lit(f"{part}="), part) for part in ("action", "year", "month", "day")])
+    files = listing.layout_report(t.spark, f"{out}/compacted").select("leaf", "files")
+    return _log_counts(t, f"{out}/compacted").withColumn("leaf", leaf).join(files, "leaf").drop("leaf")
+
+
+@query(EVENT_LOG_SQL.format(where="WHERE date_trunc('day', ts) = TIMESTAMP '2024-01-15 00:00:00'"))
+def event_log_caught_up(t: Tables) -> DataFrame:
+    """Half of a day comes late; taking the day over again adds that half alone."""
+    out, day = t.scratch("event-log"), datetime(2024, 1, 16, 9)
+    for part in range(2):
+        rows = t.events.filter(F.col("message_id").cast("long") % 2 == part)
+        append_lake_table(rows.transform(event_log_partition_columns), f"{out}/lake", to="day")
+        for _ in range(2):
+            lake.run_minute(
+                t.spark, f"{out}/lake", f"{out}/log", day, to="day", key="action", unit="day", schema=MESSAGE, once=True
+            )
+    return _log_counts(t, f"{out}/log")
+
+
 @query("""
 SELECT event_id AS value, CAST(user_id AS VARCHAR) AS charge_point_id, event_type AS action,
        CAST(2 AS BIGINT) AS message_type, props AS body

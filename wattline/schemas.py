@@ -73,7 +73,6 @@ SAMPLED_VALUE = _struct(
 )
 
 
-
 def _meter_values(sample: StructType) -> StructType:
     reading = _struct(timestamp=StringType(), sampled_value=ArrayType(sample, True))
     return _struct(
@@ -85,10 +84,17 @@ def _meter_values(sample: StructType) -> StructType:
 
 METER_VALUES = _meter_values(SAMPLED_VALUE)
 
-# What the flat samples keep of a message. Spark prunes unused fields of a struct it
-# parses, but not those inside arrays, so the jobs ask for less from the start.
+# What the flat samples keep of a message.
 METER_SAMPLES = _meter_values(_struct(value=StringType(), measurand=StringType(), phase=StringType()))
 
+# What single jobs use of a message. A parser reads the whole schema it is given as soon as two of
+# its fields are used, so a job that uses less declares less.
+SESSION_START = _struct(meter_start=IntegerType(), timestamp=StringType())
+SESSION_ID = _struct(transaction_id=IntegerType())
+SESSION_STOP = _struct(meter_stop=IntegerType(), timestamp=StringType(), transaction_id=IntegerType())
+SESSION_SAMPLES = StructType([field for field in METER_SAMPLES.fields if field.name != "connector_id"])
+STATUS_REPORT = _struct(status=StringType(), timestamp=StringType())
+
 STATUS_NOTIFICATION = _struct(
     connector_id=IntegerType(),
     error_code=StringType(),

@@ -33,7 +33,10 @@ def build_session(
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the time zone of a session that somebody else built."""
+    """Pin the time zone of a session that somebody else built; the setting stays on that session.
+
+    ``forceOptimizeSkewedJoin`` and the other ``SETTINGS`` are left as that session has them.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 

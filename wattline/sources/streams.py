@@ -17,11 +17,3 @@ def read_message_stream(
 ) -> DataFrame:
     """New files of a directory as a stream; columns are those of the schema."""
     return spark.readStream.schema(schema).format(format).options(**options).load(path)
-
-
-def replay_messages(
-    spark: SparkSession, table: DataFrame, source: str = "rate", **options: str
-) -> DataFrame:
-    """A stored log played back at a fixed rate: the counter of the source picks ``value``."""
-    ticks = spark.readStream.format(source).options(**options).load().select("value")
-    return ticks.join(table, "value").select(*table.columns)

@@ -42,17 +42,6 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share rows out over idle cores before expensive row-wise work.
-
-    Only where the scan has fewer splits than there are cores, as with a few small
-    files; a table of many files stays as it is and is not shuffled. For scans: to ask
-    a plan with shuffles for its partitions would run them.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_time_slice(
     df: DataFrame, at: datetime, column: str = "write_timestamp", unit: str = "minute"
 ) -> DataFrame:
@@ -84,7 +73,8 @@ def read_last_minute(
 
     A Parquet table is opened at the one directory that can hold that minute (its
     directories go down to ``to``), so the cost does not grow with the age of the
-    table. Other formats prune through their own log.
+    table. Other formats prune through their own log. A minute in which nothing arrived
+    gives no rows; a table that is not there is an error.
     """
     at = (now or datetime.now(timezone.utc)) - STEPS[unit]
     if format != "parquet":
@@ -95,6 +85,8 @@ def read_last_minute(
     start = _floor(at, unit)
     coarse = parts[: parts.index(unit) + 1] if unit in parts else parts
     leaf = "/".join([path.rstrip("/"), *[f"{part}={getattr(start, part)}" for part in coarse]])
+    if not exists(spark, path):
+        raise FileNotFoundError(f"no lake table at {path}")
     if not exists(spark, leaf):
         return spark.createDataFrame([], full)
     table = spark.read.schema(full).option("basePath", path).parquet(leaf)
