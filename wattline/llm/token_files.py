@@ -27,11 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattline.llm.common import ship, slices, text_of
+from wattline.llm.common import ship, slices, spread_out, text_of
 from wattline.llm.pieces import AT_ONCE, ChunkCache
 from wattline.llm.simple8b import pack, unpack
 
 BLOCK_IDS = 1 << 18
+#: Chunks given to the library as one string, and chunks remembered by a worker (some 250 MB).
+JOINED, REMEMBERED = 10_000, 1_500_000
 BLOCK = "part int, block int, doc_ids array<long>, counts array<long>, n_ids long, packed binary"
 
 _CACHES: dict[str, ChunkCache] = {}
@@ -47,12 +49,30 @@ def _cache(vocabulary: bytes) -> ChunkCache:
         tokenizer = Tokenizer.from_str(vocabulary.decode())
         tokenizer.encode_special_tokens = True
 
-        def encode(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            found = [piece.ids for piece in tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
-            counts = np.fromiter(map(len, found), np.int64, len(found))
-            return np.fromiter((i for ids in found for i in ids), np.int64, int(counts.sum())), counts
+        space = tokenizer.encode(" a", add_special_tokens=False).tokens[0][0]
+        pieces = sorted(tokenizer.get_vocab(with_added_tokens=True).items(), key=lambda item: item[1])
+        opens = np.zeros(pieces[-1][1] + 1, bool)
+        opens[[number for piece, number in pieces if piece.startswith(space)]] = True
 
-        _CACHES[key] = ChunkCache(encode)
+        def encode(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            """Chunks whose only space is their first character go to the library many at a time: it cuts
+            before each of these spaces, so a token that opens with a space opens a chunk."""
+            plain = np.fromiter((text[:1] == " " and text.count(" ") == 1 for text in strings), bool, len(strings))
+            chunks = [text for text, is_plain in zip(strings, plain.tolist()) if is_plain]
+            joined = ["".join(chunks[i : i + JOINED]) for i in range(0, len(chunks), JOINED)]
+            apart = [text for text, is_plain in zip(strings, plain.tolist()) if not is_plain]
+            found = [np.array(made.ids, np.int64) for made in tokenizer.encode_batch_fast(joined + apart, add_special_tokens=False)]
+            together = np.concatenate([np.zeros(0, np.int64), *found[: len(joined)]])
+            counts = np.empty(len(strings), np.int64)
+            counts[plain] = np.diff(np.append(np.flatnonzero(opens[together]), len(together)))
+            counts[~plain] = [len(ids) for ids in found[len(joined) :]]
+            ids, starts = np.empty(int(counts.sum()), np.int64), np.cumsum(counts) - counts
+            ids[spread_out(starts[plain], counts[plain])] = together
+            rest = np.concatenate([np.zeros(0, np.int64), *found[len(joined) :]])
+            ids[spread_out(starts[~plain], counts[~plain])] = rest
+            return ids, counts
+
+        _CACHES[key] = ChunkCache(encode, REMEMBERED)
     return _CACHES[key]
 
 
