@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from wattline.llm.common import ship, slices, spread_out
+from wattline.llm.common import give_back, ship, slices, spread_out
 from wattline.llm.pieces import AT_ONCE, ChunkCache
 
 NONE = np.int64(1) << 40
@@ -34,7 +34,7 @@ EMPTY = np.int64(-1)
 WIDTHS = (4, 8, 12, 16, 24, 32, 48, 64, 128, 256)
 #: The tokenizer's white space; the pattern's \s means this.
 WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-CELLS = 400_000
+CELLS = 200_000
 
 
 class PairTable:
@@ -292,7 +292,9 @@ def encoder(docs: DataFrame, path: str, pattern: str):
 
     @arrow_udf("binary")
     def encode_column(texts: pa.Array) -> pa.Array:
-        return loaded(file.value, pattern).encode_texts(texts)
+        ids = loaded(file.value, pattern).encode_texts(texts)
+        give_back()
+        return ids
 
     return encode_column
 
@@ -303,7 +305,9 @@ def decoder(docs: DataFrame, path: str, pattern: str):
 
     @arrow_udf("binary")
     def decode_column(rows: pa.Array) -> pa.Array:
-        return loaded(file.value, pattern).decode_rows(rows)
+        texts = loaded(file.value, pattern).decode_rows(rows)
+        give_back()
+        return texts
 
     return decode_column
 

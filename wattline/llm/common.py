@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import io
 import os
+import tempfile
 import zipfile
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,8 +74,6 @@ def ship(spark: SparkSession) -> None:
                     path = os.path.join(folder, file)
                     archive.write(path, os.path.relpath(path, os.path.dirname(root)))
     # The driver's own copy; Spark serves it to every executor.
-    import tempfile
-
     path = os.path.join(tempfile.mkdtemp(prefix="wattline-code-"), "wattline.zip")
     with open(path, "wb") as file:
         file.write(packed.getvalue())
@@ -79,6 +81,13 @@ def ship(spark: SparkSession) -> None:
     context._wattline_shipped = True
 
 
+def give_back() -> None:
+    """Return freed memory to the system, so that workers that wait for their next task stay small."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def slices(sizes: list[int], most: int) -> Iterator[slice]:
     """Consecutive rows of about ``most`` in total size; a larger row stands alone."""
     start = total = 0

@@ -28,11 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from wattline.llm.common import fresh, ship, slices, written
+from wattline.llm.common import fresh, give_back, ship, slices, written
 
 BUCKETS, MOST_LANGUAGES = 1 << 15, 200
 SMOOTHING, PENALTY, ROUNDS = 0.5, 3.0, 20
-AT_ONCE = 1_000_000
+AT_ONCE = 300_000
 UNKNOWN = "und"
 
 _LETTERS: list[np.ndarray] = []
@@ -75,6 +75,7 @@ def _counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for part in slices([len(text) for text in texts], AT_ONCE):
                 found = np.bincount(trigrams(texts[part])[0], minlength=BUCKETS)
                 sums[language] = sums.get(language, 0) + found
+    give_back()
     for language, found in sums.items():
         at = np.flatnonzero(found)
         yield pd.DataFrame({"lang": language, "bucket": at, "n": found[at]})
@@ -227,7 +228,9 @@ def with_language(docs: DataFrame, model: Model, text_col: str = "text", out_col
 
     @pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        return shared.value.predict([text or "" for text in texts])
+        found = shared.value.predict([text or "" for text in texts])
+        give_back()
+        return found
 
     return docs.withColumn(out_col, predict(F.col(f"`{text_col}`")))
 

@@ -20,7 +20,7 @@ from wattline.llm.common import slices, spread_out
 LOOSE = re.compile(r" (?!\S)")
 BOUNDARY = re.compile(r" (?=\S)")
 #: Characters handled at once, and chunks remembered, in one worker.
-AT_ONCE, REMEMBERED = 1_500_000, 1 << 19
+AT_ONCE, REMEMBERED = 500_000, 300_000
 
 
 def space_chunks(text: str) -> list[str]:
