@@ -6,7 +6,6 @@ import contextlib
 import ctypes
 import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Iterator
 
@@ -61,7 +60,7 @@ def possibly_in(rows: DataFrame, keys: DataFrame, column: str, bits: int = 22) -
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once for each application."""
+    """Send this package to the Python workers through the shared folder, once for each application."""
     context = spark.sparkContext
     if getattr(context, "_wattline_shipped", False):
         return
@@ -73,11 +72,11 @@ def ship(spark: SparkSession) -> None:
                 if file.endswith(".py"):
                     path = os.path.join(folder, file)
                     archive.write(path, os.path.relpath(path, os.path.dirname(root)))
-    # The driver's own copy; Spark serves it to every executor.
-    path = os.path.join(tempfile.mkdtemp(prefix="wattline-code-"), "wattline.zip")
-    with open(path, "wb") as file:
-        file.write(packed.getvalue())
-    context.addPyFile(path)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark, 'code')}/wattline.zip")
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    stream.write(packed.getvalue())
+    stream.close()
+    context.addPyFile(path.toString())
     context._wattline_shipped = True
 
 
