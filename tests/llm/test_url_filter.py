@@ -60,3 +60,18 @@ def test_keys(spark):
     keys = spark.range(1).select(keys_of(F.lit("https://a.b.example/x/y/z?q=/no")).alias("k")).first()["k"]
     hosts = ["a.b.example", "b.example", "example"]
     assert sorted(keys) == sorted([*hosts, "a.b.example/x", "a.b.example/x/y", "a.b.example/x/y/z"])
+
+
+def test_long_hosts_and_deep_paths(spark):
+    host = ".".join(f"l{i}" for i in range(14)) + ".example"
+    path = "/".join(f"s{i}" for i in range(12))
+    captures = [
+        (1, f"http://{host}/", T), (2, f"http://a.{host}/x", T), (3, f"http://deep.example/{path}/more?q", T),
+        (4, f"http://deep.example/{path}x", T), (5, "http://deep.example/s0", T), (6, f"http://x{host}/", T),
+    ]
+    captures = spark.createDataFrame(captures, "page_id long, url string, fetched_at timestamp_ntz")
+    changes = spark.createDataFrame([(host, "add", T), (f"deep.example/{path}/", "add", T)], "entry string, action string, at timestamp_ntz")
+    got = {row["page_id"]: (row["n_entries"], row["entry"]) for row in verdicts(captures, changes).filter("blocked").collect()}
+    assert got == {1: (1, host), 2: (1, host), 3: (1, f"deep.example/{path}")}
+    renamed = changes.withColumnRenamed("entry", "line")
+    assert {row["page_id"] for row in allowed(captures, renamed, entry_col="line").collect()} == {4, 5, 6}

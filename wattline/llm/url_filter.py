@@ -3,7 +3,8 @@
 A list is a log of changes: entry, added or removed, time. Each change opens a validity interval that
 the entry's next change closes. An entry is a host (which covers its subdomains) or a host with
 a path prefix that ends at a path segment. A capture has a few keys that could be entries: its
-host and the host's parents, and its host with each beginning of its path; one equality join on the key with a range
+host and the host's parents, and its host with each beginning of its path, however long they are, but only
+those of a depth (labels of a host, segments of a path) that the list has; one equality join on the key with a range
 condition on the time is the as-of join. Intervals of one entry don't overlap, so a key matches at most
 once, and the join returns no more rows than keys are listed. A hot host is split by the skew join, and
 captures that match nothing are not joined again: matches are counted by capture before the shuffle.
@@ -23,9 +24,6 @@ from pyspark.sql import functions as F
 
 from wattline.llm.common import fresh
 
-#: Path segments and host labels that keys are made of; longer URLs and hosts have no entry beyond them.
-SEGMENTS, LABELS = 8, 10
-
 
 def host_of(url: Column) -> Column:
     """The host of a URL, empty if there is none."""
@@ -45,20 +43,29 @@ def entry_key(entry: Column) -> Column:
     return F.concat(host_of(entry), F.regexp_replace(path_of(entry), r"/+$", ""))
 
 
-def keys_of(url: Column, labels: int = LABELS, segments: int = SEGMENTS) -> Column:
-    """All entries that could cover a URL."""
+def depth_of(key: Column) -> Column:
+    """The depth of an entry: the labels of a host as a negative number, or the segments of a path."""
+    segments = F.size(F.filter(F.split(key, "/"), lambda step: step != "")) - 1
+    return F.when(F.contains(key, F.lit("/")), segments).otherwise(-F.size(F.split(key, r"\.")))
+
+
+def keys_of(url: Column, depths: Column | None = None) -> Column:
+    """All entries that could cover a URL, or those of the ``depths`` (an array) that a list has."""
     parts = F.split(host_of(url), r"\.")
-    size = F.size(parts)
-    hosts = F.transform(
-        F.sequence(F.greatest(F.lit(1), size - labels + 1), size), lambda i: F.array_join(F.slice(parts, i, size), ".")
-    )
     steps = F.filter(F.split(path_of(url), "/"), lambda step: step != "")
-    count = F.least(F.size(steps), F.lit(segments))
-    lengths = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
-    paths = F.transform(
-        lengths, lambda i: F.concat(host_of(url), F.lit("/"), F.array_join(F.slice(steps, F.lit(1), i), "/"))
+    every = F.concat(
+        F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: -n),
+        F.when(F.size(steps) > 0, F.sequence(F.lit(1), F.size(steps))).otherwise(F.array().cast("array<int>")),
+    )
+    if depths is not None:
+        every = F.array_intersect(every, depths)
+    keys = F.transform(
+        every,
+        lambda n: F.when(n < 0, F.array_join(F.slice(parts, F.size(parts) + n + 1, -n), ".")).otherwise(
+            F.concat(host_of(url), F.lit("/"), F.array_join(F.slice(steps, F.lit(1), n), "/"))
+        ),
     )
-    return F.when(host_of(url) != "", F.array_distinct(F.concat(hosts, paths)))
+    return F.when(host_of(url) != "", F.array_distinct(keys))
 
 
 def intervals(
@@ -80,7 +87,12 @@ def matches(captures: DataFrame, changes: DataFrame, url_col: str = "url", time_
     key = fresh(captures, "entry")
     active = intervals(changes, **options)
     time = F.col(f"`{time_col}`")
-    keyed = captures.filter(time.isNotNull()).withColumn(key, F.explode(keys_of(F.col(f"`{url_col}`"))))
+    listed = entry_key(F.col(f"`{options.get('entry_col', 'entry')}`"))
+    depths = fresh(captures, "list_depths")
+    # One row, empty if nothing is listed.
+    depth = changes.select(listed.alias("key")).filter("key IS NOT NULL").agg(F.collect_set(depth_of(F.col("key"))).alias(depths))
+    keyed = captures.filter(time.isNotNull()).crossJoin(F.broadcast(depth))
+    keyed = keyed.withColumn(key, F.explode(keys_of(F.col(f"`{url_col}`"), F.col(depths)))).drop(depths)
     names = {old: fresh(keyed, f"list_{old}") for old in active.columns}
     active = active.select(*[F.col(old).alias(new) for old, new in names.items()])
     start, end = F.col(names["from_time"]), F.col(names["to_time"])
