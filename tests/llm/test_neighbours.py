@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wattline.llm.neighbours import hilbert_key, nearest
+from wattline.llm.neighbours import CURVES, curves_for, hilbert_key, nearest
 
 
 def exact(rows, k):
@@ -54,3 +54,16 @@ def test_recall_with_bounded_windows(spark):
     want = exact(rows, 20)
     found = {(r["query_id"], r["vec_id"]) for r in got}
     assert len(found & {(q, i) for q, _, i in want}) >= 0.9 * len(want)
+
+
+def test_orders_grow_with_the_rows(spark):
+    assert curves_for(1000) == curves_for(49_152) == CURVES and curves_for(200_000) == 48
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(6000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = nearest(df, F.col("vec_id") % 60 == 0, window=64, block=1024).collect()
+    scores = vectors[::60] @ vectors.T
+    scores[np.arange(100), np.arange(0, 6000, 60)] = -np.inf
+    want = {(60 * q, int(i)) for q, row in enumerate(np.argsort(-scores, axis=1)[:, :20]) for i in row}
+    assert len({(r["query_id"], r["vec_id"]) for r in got} & want) >= 0.9 * len(want)

@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by inner product, over several shifted Hilbert orders.
 
 Vectors are lengthened by one coordinate that gives them all the largest norm, so that the largest
-inner product becomes the nearest direction. Each of ``CURVES`` orders projects them to ``PROJECTED``
+inner product becomes the nearest direction. Each of ``CURVES`` or more orders projects them to ``PROJECTED``
 random directions, shifts and quantises the projections, and sorts by the Hilbert key of the cell; Spark
 range-partitions all orders at once. Ranks cut each order into blocks of ``BLOCK`` rows, with the ``WINDOW`` rows
 before and after as a margin, so every task holds a bounded number of vectors however many share
@@ -10,7 +10,8 @@ found is merged.
 
 Equal vectors are searched as one and take part with their smallest ids, so ties are complete. Centre
 and spread of the projections are fitted on the ``SAMPLE`` rows with the smallest hash of their id; every
-row is indexed. Windows are fixed numbers: cost grows with the rows, and recall is to be measured.
+row is indexed. Windows are of fixed size, and a neighbour's chance to lie in one falls with the number of rows
+about as its power -0.62, so beyond ``HELD`` windows the orders grow as the power 0.62 (``curves_for``).
 
 Defined results: a vector that is null, zero, of another length than most of the sample or holds null or
 non-finite components is no query and no candidate; a row without id takes no part; of rows that
@@ -19,6 +20,7 @@ repeat an id with other vectors each is a candidate; an empty table gives no row
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +32,8 @@ from pyspark.sql import functions as F
 from wattline.llm.common import ship, written
 
 CURVES, PROJECTED, CELL_BITS, WINDOW, BLOCK, SAMPLE = 20, 8, 6, 2048, 8192, 4096
+#: Rows that ``CURVES`` orders serve, in windows of one side, and the power by which the orders grow beyond.
+HELD, POWER = 24, 0.62
 RESULT = "query_id long, rank int, vec_id long, score double"
 
 
@@ -60,6 +64,11 @@ def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
+def curves_for(rows: int, window: int = WINDOW) -> int:
+    """How many orders keep the recall that ``CURVES`` have at ``HELD`` windows of rows."""
+    return max(CURVES, math.ceil(CURVES * (rows / (HELD * window)) ** POWER))
+
+
 class Orders:
     """The projections, shifts and scales of all orders."""
 
@@ -69,8 +78,9 @@ class Orders:
         self.longest, self.bits = longest, bits
         self.axes = np.stack([np.linalg.qr(random.normal(size=(width, min(projected, width))))[0] for _ in range(curves)])
         self.shifts = random.random((curves, self.axes.shape[2]))
-        found = self.lengthened(sample, False) @ self.axes
-        self.centre, self.spread = found.mean(axis=1, keepdims=True), found.std(axis=1, keepdims=True) + 1e-12
+        sample = self.lengthened(sample, False)
+        found = [sample @ axes for axes in self.axes]
+        self.centre, self.spread = [x.mean(axis=0) for x in found], [x.std(axis=0) + 1e-12 for x in found]
 
     def lengthened(self, vectors: np.ndarray, queries: bool) -> np.ndarray:
         vectors = vectors / self.longest
@@ -81,12 +91,13 @@ class Orders:
             extra = np.sqrt(np.maximum(0.0, 1.0 - squared))
         return np.concatenate((vectors, extra[:, None]), axis=1)
 
-    def keys(self, vectors: np.ndarray, queries: bool) -> np.ndarray:
-        """A row of keys for each order."""
-        found = (self.lengthened(vectors, queries) @ self.axes - self.centre) / self.spread
-        unit = 1.0 / (1.0 + np.exp(-np.clip(1.7 * found, -30, 30)))  # near the normal distribution function
-        cells = ((unit + self.shifts[:, None, :]) * (1 << (self.bits - 1))).astype(np.int64)
-        return np.stack([hilbert_key(order, self.bits) for order in cells])
+    def keys(self, vectors: np.ndarray, queries: bool) -> Iterator[np.ndarray]:
+        """The keys of each order, one order after another."""
+        vectors = self.lengthened(vectors, queries)
+        for axes, shifts, centre, spread in zip(self.axes, self.shifts, self.centre, self.spread):
+            found = (vectors @ axes - centre) / spread
+            unit = 1.0 / (1.0 + np.exp(-np.clip(1.7 * found, -30, 30)))  # near the normal distribution function
+            yield hilbert_key(((unit + shifts) * (1 << (self.bits - 1))).astype(np.int64), self.bits)
 
 
 def _keyed(frames: Iterator[pd.DataFrame], orders: Orders) -> Iterator[pd.DataFrame]:
@@ -147,14 +158,17 @@ def nearest(
     k: int = 20,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
-    curves: int = CURVES,
+    curves: int | None = None,
     projected: int = PROJECTED,
     bits: int = CELL_BITS,
     window: int = WINDOW,
     block: int = BLOCK,
     seed: int = 20250101,
 ) -> DataFrame:
-    """For each row that is ``asked`` for, its ``k`` nearest others: query_id, rank, vec_id, score."""
+    """For each row that is ``asked`` for, its ``k`` nearest others: query_id, rank, vec_id, score.
+
+    Without ``curves`` their number follows from the number of rows.
+    """
     spark = table.sparkSession
     ship(spark)
     vector = F.col(f"`{vector_col}`").cast("array<double>")
@@ -167,9 +181,10 @@ def nearest(
     width = int(sample["vector"].map(len).mode()[0])
     rows = rows.filter(F.size("vector") == width)
     squared = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
-    longest = float(rows.agg(F.sqrt(F.max(squared))).first()[0])
+    longest, n_rows = rows.agg(F.sqrt(F.max(squared)), F.count("*")).first()
+    curves = curves_for(n_rows, window) if curves is None else curves
     fitted = np.stack(sample["vector"][sample["vector"].map(len) == width].to_numpy())
-    orders = spark.sparkContext.broadcast(Orders(fitted, longest, curves, projected, bits, seed))
+    orders = spark.sparkContext.broadcast(Orders(fitted, float(longest), curves, projected, bits, seed))
 
     # Equal vectors as one, with their k + 1 smallest ids; the limit is applied before the shuffle.
     smallest = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
