@@ -46,3 +46,11 @@ def test_documents(spark):
     assert len(rows) == len(ROWS)
     assert all(tuple(row)[1:] == brute(model, values, row["text"] or "") for row in rows)
     assert with_token_counts(empty(spark), PIECES).count() == 0
+
+
+def test_long_runs_do_not_carry_into_the_score(monkeypatch):
+    texts = ["x" * 50 + " the", "漢" * 30, "t" * 40]
+    want = Unigram(PIECES, zipf_scores(PIECES)).documents(texts)
+    monkeypatch.setattr("wattline.llm.token_counts.COUNT_BITS", 4)  # a run of over 15 tokens is long then
+    assert Unigram(PIECES, zipf_scores(PIECES)).documents(texts).equals(want)
+    assert want["n_tokens"].tolist() == [53, 91, 41]

@@ -65,20 +65,22 @@ class Unigram:
 
     def _clear(self) -> None:
         self.codes: dict[str, int] = {}
-        self.totals = np.zeros(0, np.int64)
+        self.totals = np.zeros((0, 2), np.int64)
 
     def words(self, words: list[str]) -> np.ndarray:
-        """The best value of each word; the words are in code point order and not empty."""
+        """Score and number of tokens of the best cut of each word; the words are in code point order and not empty."""
         lengths = np.fromiter((len(word) + len(self.mark) for word in words), np.int64, len(words))
         text = np.frombuffer("".join(chain.from_iterable(zip(repeat(self.mark), words))).encode("utf-32-le", "surrogatepass"), np.uint32)
         starts = np.cumsum(lengths) - lengths
-        totals = np.empty(len(words), np.int64)
+        totals = np.empty((len(words), 2), np.int64)
         open_words = np.arange(len(words))
         node = np.zeros(len(words), np.int64)
-        # Of the nodes of the level above: pieces that may go on, and the best values from there upwards.
+        # Of the nodes of the level above: pieces that may go on, and the best scores from there upwards with
+        # their numbers of tokens, apart from each other so that a word of any length has room for both.
         states = np.full((1, self.longest), -1, np.int64)
         best = np.full((1, self.longest), NEVER, np.int64)
         best[0, 0] = 0
+        tokens = np.zeros((1, self.longest), np.int64)
         depth = 0
         while len(open_words):
             chars = text[starts[open_words] + depth].astype(np.int64)
@@ -91,18 +93,24 @@ class Unigram:
             states = np.full(moved.shape, -1, np.int64)
             states[row, column] = np.where(reached == NONE, -1, reached)
             value = np.where(states >= 0, self.value[states], NEVER)
-            from_above = best[above]
-            reach = np.where((value > NEVER) & (from_above > NEVER), value + from_above, NEVER)
+            from_above, count = best[above], tokens[above]
+            # The value of one piece is its score and one token.
+            reach = np.where((value > NEVER) & (from_above > NEVER), ((value + 1) >> COUNT_BITS) + from_above, NEVER)
+            total = count + 1
             alone = value[:, 0] == NEVER
             if alone.any():
                 size = 1 + (chars > 0x7F) + (chars > 0x7FF) + (chars > 0xFFFF)
-                unknown = (np.int64(round(self.worst * (1 << STEP_BITS))) << COUNT_BITS) - size
-                reach[alone, 0] = (from_above[:, 0] + unknown)[alone]
-            best = np.concatenate((reach.max(axis=1)[:, None], from_above[:, :-1]), axis=1)
+                reach[alone, 0] = from_above[alone, 0] + round(self.worst * (1 << STEP_BITS))
+                total[alone, 0] = (count[:, 0] + size)[alone]
+            most = reach.max(axis=1)[:, None]
+            fewest = np.where(reach == most, total, -NEVER).min(axis=1)[:, None]
+            best = np.concatenate((most, from_above[:, :-1]), axis=1)
+            tokens = np.concatenate((fewest, count[:, :-1]), axis=1)
             depth += 1
             node = np.cumsum(new) - 1
             ended = lengths[open_words] == depth
-            totals[open_words[ended]] = best[node[ended], 0]
+            totals[open_words[ended], 0] = best[node[ended], 0]
+            totals[open_words[ended], 1] = tokens[node[ended], 0]
             open_words, node = open_words[~ended], node[~ended]
         return totals
 
@@ -124,13 +132,12 @@ class Unigram:
                 self.codes.update(zip(new, range(len(self.totals), len(self.totals) + len(new))))
                 self.totals = np.concatenate((self.totals, self.words(new)))
                 codes[unknown] = np.fromiter(map(self.codes.__getitem__, missing), np.int64, len(missing))
-            total = self.totals[codes]
-            tokens = -total & ((1 << COUNT_BITS) - 1)
+            score, tokens = self.totals[codes].T
             ends = np.cumsum(sizes)
-            for column, values in enumerate((np.ones(len(total), np.int64), tokens)):
+            for column, values in enumerate((np.ones(len(tokens), np.int64), tokens)):
                 sums = np.concatenate(([0], np.cumsum(values)))
                 counts[part, column] = sums[ends] - sums[ends - sizes]
-            sums = np.concatenate(([0], np.cumsum((total + tokens) >> COUNT_BITS)))
+            sums = np.concatenate(([0], np.cumsum(score)))
             scores[part] = (sums[ends] - sums[ends - sizes]) / (1 << STEP_BITS)
         return pd.DataFrame({"n_words": counts[:, 0], "n_tokens": counts[:, 1], "log_score": scores})
 
