@@ -23,7 +23,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test table
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    for file in ("documents", "pages"):
+    for file in ("documents", "pages", "conversations"):
         duck.execute(f"CREATE VIEW {file} AS SELECT * FROM '{FOLDER}/{file}.parquet'")
     result = QUERIES[name](spark, FOLDER)
     columns = sorted(result.columns)
@@ -34,7 +34,7 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(SQL) <= set(oracle_sql())
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
 
 
 def test_token_files_hold_what_the_library_makes(spark):

@@ -7,7 +7,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bpe, exact_dedup, language, line_dedup, mixing, near_dedup, neighbours, token_counts, token_files, url_filter
+from wattline.llm import bpe, exact_dedup, language, line_dedup, merkle, mixing, near_dedup, neighbours, token_counts, token_files, url_filter
 from wattline.llm.common import table
 from wattline.session import shared_folder
 
@@ -196,6 +196,63 @@ LEFT JOIN thresholds t ON s.source IS NOT DISTINCT FROM t.source
 """
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its proof, checked once more after some texts were tampered with."""
+    docs = table(spark, folder, "documents")
+    return merkle.proofs(merkle.manifest(docs, changed=merkle.tampered(docs))).withColumnRenamed("id", "doc_id")
+
+
+#: The usual reflected polynomial, bit by bit, as DuckDB has no such function; of a whole number in decimal digits.
+CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+def _merkle_sql(levels: int) -> str:
+    """Level by level, for at most 16 ** ``levels`` nodes; ``up`` has the path of every leaf or subroot so far."""
+
+    def climb(start: str, keys: str, prefix: str) -> str:
+        steps = []
+        for level in range(levels):
+            before = start if level == 0 else f"{prefix}{level}"
+            # Of the nodes of a level, one for each place; leaves that share a node carry it along.
+            steps.append(f"""
+{prefix}n{level} AS (SELECT DISTINCT {keys}, place, node FROM {before}),
+{prefix}r{level} AS (
+    SELECT {keys}, place // 16 AS run, list(node ORDER BY place) AS nodes, sum(count(*)) OVER (PARTITION BY {keys}) AS total
+    FROM {prefix}n{level} GROUP BY {keys}, place // 16),
+{prefix}{level + 1} AS (
+    SELECT b.* EXCLUDE (place, node, proof, folded), b.place // 16 AS place,
+           CASE WHEN r.total = 1 THEN b.node ELSE sha256(array_to_string(r.nodes, '')) END AS node,
+           CASE WHEN r.total = 1 THEN b.proof ELSE b.proof || array_to_string(r.nodes[:b.place % 16], '') || array_to_string(r.nodes[b.place % 16 + 2:], '') END AS proof,
+           CASE WHEN r.total = 1 THEN b.folded ELSE sha256(array_to_string(r.nodes[:b.place % 16], '') || b.folded || array_to_string(r.nodes[b.place % 16 + 2:], '')) END AS folded
+    FROM {before} b JOIN {prefix}r{level} r ON b.place // 16 = r.run AND b.name = r.name)""")
+        return ",".join(steps)
+
+    fields = " || ".join(f"coalesce(strlen(CAST({name} AS VARCHAR)) || ':' || {name}, '-')" for name in ("doc_id", "source", "lang", "n_chars", "{text}"))
+    lower = f"translate(text, '{merkle.UPPER}', '{merkle.LOWER}')"
+    return f"""
+WITH leaves AS (
+    SELECT doc_id, coalesce('=' || source, '') AS name, sha256({fields.replace('{text}', 'text')}) AS leaf,
+           CASE WHEN {CRC32.format('doc_id')} % 5 = 0 THEN sha256({fields.replace('{text}', lower)}) END AS changed
+    FROM documents),
+l0 AS (
+    SELECT doc_id, name, leaf, row_number() OVER (PARTITION BY name ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+           leaf AS node, '' AS proof, coalesce(changed, leaf) AS folded
+    FROM leaves),
+{climb('l0', 'name', 'w')},
+roots AS (SELECT DISTINCT name, node FROM w{levels}),
+ranked AS (SELECT name, row_number() OVER (ORDER BY encode(name)) - 1 AS place FROM roots),
+a0 AS (
+    SELECT w.doc_id, w.leaf, w.node AS subroot, '' AS name, r.place, w.node, w.proof, w.folded
+    FROM w{levels} w JOIN ranked r ON w.name = r.name),
+{climb('a0', 'name', 'x')}
+SELECT doc_id, leaf, subroot, node AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = node AS verified FROM x{levels}
+"""
+
+
+OP12 = _merkle_sql(5)
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -207,5 +264,6 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_source_mix": op10_source_mix,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
-SQL = {"op5_url_filter": OP5, "op9_exact_dedup": OP9, "op10_source_mix": OP10}
+SQL = {"op5_url_filter": OP5, "op9_exact_dedup": OP9, "op10_source_mix": OP10, "op12_merkle_manifest": OP12}
