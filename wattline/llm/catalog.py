@@ -7,7 +7,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bpe, exact_dedup, language, line_dedup, merkle, mixing, near_dedup, neighbours, token_counts, token_files, url_filter
+from wattline.llm import bpe, exact_dedup, language, line_dedup, merkle, mixing, near_dedup, neighbours, prefix_trie, token_counts, token_files, toxicity, url_filter
 from wattline.llm.common import table
 from wattline.session import shared_folder
 
@@ -196,6 +196,12 @@ LEFT JOIN thresholds t ON s.source IS NOT DISTINCT FROM t.source
 """
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the trie of conversations that were rebuilt on common starts."""
+    turns = prefix_trie.numbered_turns(table(spark, folder, "conversations"))
+    return prefix_trie.trie(prefix_trie.grafted(turns), turns.select("conv_id").distinct())
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its proof, checked once more after some texts were tampered with."""
     docs = table(spark, folder, "documents")
@@ -253,6 +259,48 @@ SELECT doc_id, leaf, subroot, node AS root, sha256(proof) AS proof_sha256, folde
 OP12 = _merkle_sql(5)
 
 
+OP11 = f"""
+WITH own AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place, {CRC32.format('conv_id')} % 4 AS h
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT DISTINCT conv_id, h FROM own),
+pieces AS (
+    SELECT c.conv_id, o.place, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.conv_id - c.conv_id % 20 AND o.place <= c.h
+    UNION ALL SELECT conv_id, place, role, text FROM own WHERE place > h),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY place) AS depth FROM pieces),
+paths AS (
+    SELECT conv_id, depth, list(struct_pack(role := role, text := text)) OVER (PARTITION BY conv_id ORDER BY depth) AS path,
+           len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words
+    FROM numbered
+    UNION ALL SELECT conv_id, 0, [], 0 FROM convs),
+lengths AS (SELECT conv_id, max(depth) AS len FROM paths GROUP BY conv_id),
+nodes AS (
+    SELECT p.path, p.depth, min(p.conv_id) AS conv_id, count(*) AS n_convs, any_value(p.words) AS words, max(l.len) = p.depth AS is_leaf,
+           sha256(coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (l.len = p.depth), '')) AS ends_sha256
+    FROM paths p JOIN lengths l ON p.conv_id = l.conv_id GROUP BY p.path, p.depth),
+above AS (
+    SELECT p.path, p.depth, n.is_leaf, (n.n_convs - 1) * n.words AS saved, n.depth AS below
+    FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth),
+totals AS (
+    SELECT path, depth, count(*) FILTER (below = depth + 1) AS n_children, count(*) FILTER (is_leaf) AS n_leaves,
+           CAST(sum(saved) AS BIGINT) AS saved_tokens
+    FROM above GROUP BY path, depth),
+places AS (SELECT p.conv_id, p.depth, n.conv_id AS first FROM paths p JOIN nodes n ON p.path = n.path AND p.depth = n.depth)
+SELECT n.conv_id, n.depth, a.first AS parent_conv_id, n.n_convs, t.n_children, t.n_leaves, t.saved_tokens, n.ends_sha256
+FROM nodes n JOIN totals t ON n.path = t.path AND n.depth = t.depth
+LEFT JOIN places a ON a.conv_id = n.conv_id AND a.depth = n.depth - 1
+"""
+
+
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its toxicity, learned from labelled ones that are not held out."""
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    held_out = toxicity.fold_of(F.col("doc_id")) == toxicity.TEST_FOLD
+    return toxicity.scores(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -264,6 +312,8 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_source_mix": op10_source_mix,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_toxicity": op13_toxicity,
 }
-SQL = {"op5_url_filter": OP5, "op9_exact_dedup": OP9, "op10_source_mix": OP10, "op12_merkle_manifest": OP12}
+SQL = {"op5_url_filter": OP5, "op9_exact_dedup": OP9, "op10_source_mix": OP10, "op11_prefix_trie": OP11, "op12_merkle_manifest": OP12}
