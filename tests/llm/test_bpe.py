@@ -2,7 +2,9 @@ import base64
 import hashlib
 import random
 import struct
+from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -10,6 +12,7 @@ import tiktoken
 
 from tests.llm.data import ROWS, documents, empty
 from wattline.llm import bpe
+from wattline.llm.pieces import ChunkCache
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PARTS = ["a", "b", " ", "  ", "\n", "\t", "'s", "'ll", "é", "漢", "1", "23", "!", "?!", "\x1c", "\x85", "\xa0", "🎉", "qx", "the", " the", "\r\n", "ſ", "́"]
@@ -54,8 +57,6 @@ def test_long_runs_merge_as_one_by_one(own):
                 break
             at = ranks.index(min(ranks))
             ids[at : at + 2] = [ranks[at]]
-        import numpy as np
-
         assert own._merge_long(own.single[np.frombuffer(raw, np.uint8)]).tolist() == ids
 
 
@@ -70,4 +71,36 @@ def test_documents(spark, reference):
         assert bytes(row["token_ids"]) == struct.pack(f"<{len(want)}I", *want)
         assert row["n"] == len(want)
         assert hashlib.sha256(row["decoded"]).digest() == hashlib.sha256((row["text"] or "").encode()).digest()
+    at_once = bpe.encode_and_decode(docs, PATH, public_tokenizers.PATTERN)
+    assert at_once.columns == [name for name in both.columns if name != "text"]
+    columns = ["doc_id", "source", "n_chars", "token_ids", "decoded"]
+    assert sorted(map(repr, at_once.select(columns).collect())) == sorted(map(repr, both.select(columns).collect()))
+    without = bpe.encode(docs.withColumn("Token_Ids", docs["doc_id"]), PATH, public_tokenizers.PATTERN, drop_text=True)
+    assert without.columns == [*(name for name in docs.columns if name != "text"), "token_ids"]
     assert bpe.encode(empty(spark), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+class Letters:
+    """A vocabulary of letters that counts what it is asked for."""
+
+    def __init__(self):
+        self.asked = Counter()
+
+    def __call__(self, strings):
+        self.asked.update(strings)
+        found = [[ord(letter) for letter in text] for text in strings]
+        return np.array([code for ids in found for code in ids], np.int64), np.array([len(ids) for ids in found], np.int64)
+
+
+def test_frequent_chunks_are_encoded_once():
+    letters = Letters()
+    cache = ChunkCache(letters, remembered=40_000)
+    rng = random.Random(3)
+    for _ in range(200):
+        texts = [" ".join(["the", "of", *(f"rare{rng.randrange(10**9)}" for _ in range(20))]) for _ in range(5)]
+        made = list(cache.texts(texts))
+        ids = np.concatenate([ids for ids, _ in made])
+        assert "".join(map(chr, ids)) == "".join(texts)
+        assert sum(int(counts.sum()) for _, counts in made) == len(ids)
+        assert cache.young.size + cache.old.size < 200_000
+    assert letters.asked[" of"] == 1 and letters.asked["the"] == 1

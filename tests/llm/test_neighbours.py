@@ -67,3 +67,22 @@ def test_orders_grow_with_the_rows(spark):
     scores[np.arange(100), np.arange(0, 6000, 60)] = -np.inf
     want = {(60 * q, int(i)) for q, row in enumerate(np.argsort(-scores, axis=1)[:, :20]) for i in row}
     assert len({(r["query_id"], r["vec_id"]) for r in got} & want) >= 0.9 * len(want)
+
+
+@pytest.mark.parametrize("lengths", ["one long", "log-normal", "two kinds"])
+def test_recall_on_vectors_of_unequal_length(spark, lengths):
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(size=(6000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    if lengths == "one long":
+        vectors[17] *= 1000
+    elif lengths == "log-normal":
+        vectors *= np.exp(rng.normal(size=6000))[:, None]
+    else:
+        vectors[::2] *= 20
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = nearest(df, F.col("vec_id") % 60 == 0, window=64, block=1024).collect()
+    scores = vectors[::60] @ vectors.T
+    scores[np.arange(100), np.arange(0, 6000, 60)] = -np.inf
+    want = {(60 * q, int(i)) for q, row in enumerate(np.argsort(-scores, axis=1)[:, :20]) for i in row}
+    assert len({(r["query_id"], r["vec_id"]) for r in got} & want) >= 0.9 * len(want)

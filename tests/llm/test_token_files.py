@@ -27,16 +27,20 @@ def test_small_numbers_take_little_room():
     assert len(pack(np.full(6000, 50256))) < 2.8 * 6000
 
 
+SPECIAL = [
+    "<|endoftext|>", " <|endoftext|>", "a  <|endoftext|>  b", "<|endoftext|><|endoftext|> x", "x<|endoftext|>\n", "<|endoftext|", "a <|endoftext|>" * 300,
+]
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
-    made = Tokenizer.from_file(PATH)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(PATH)
 
 
 @pytest.mark.parametrize("block_ids", [1, 50, 1 << 18])
 def test_round_trip(spark, out, tokenizer, block_ids):
     rows = [*ROWS, (50, "a <|endoftext|> b", "en", "b", 1), (51, " leading  and trailing ", "en", "b", 1)]
+    rows += [(i, text, "en", "b", 1) for i, text in enumerate(SPECIAL, 200)]
     rows += [(i, f"text {i}'ll go\n\n on " * (i % 5), "en", "b", 1) for i in range(60, 160)]
     write_tokens(documents(spark, rows), out, PATH, end_id=2, block_ids=block_ids)
     got = sorted((tuple(r) for r in read_tokens(spark, out).collect()), key=lambda r: r[1])
@@ -58,3 +62,17 @@ def test_round_trip(spark, out, tokenizer, block_ids):
 def test_empty_table(spark, out):
     write_tokens(empty(spark), out, PATH, end_id=2)
     assert read_tokens(spark, out).count() == 0
+
+
+def test_rows_without_id_are_dealt_out(spark, out):
+    rows = [(None if i % 2 else 7, f"text {i}", "en", "b", 1) for i in range(6000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one part
+    try:
+        write_tokens(documents(spark, rows), out, PATH, end_id=2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = read_blocks(spark, out).select("part", "doc_ids").collect()
+    assert len({row["part"] for row in parts if None in row["doc_ids"]}) > 1
+    assert len({row["part"] for row in parts if 7 in row["doc_ids"]}) > 1
+    got = sorted(read_tokens(spark, out).collect(), key=lambda row: row["start"])
+    assert [row["doc_id"] for row in got] == [None] * 3000 + [7] * 3000

@@ -97,7 +97,8 @@ def test_probabilities_add_up():
 def test_both_ways_agree_on_a_corpus(spark):
     rows, marks = corpus(120)
     docs = documents(spark, rows)
-    model = toxicity.fit(docs, labels(spark, marks))
+    model, other = (toxicity.fit(docs, labels(spark, marks), most_marks=n) for n in (10**6, 0))
+    assert (model.slope, model.intercept) == pytest.approx((other.slope, other.intercept), abs=1e-6)
     near, far = ({row["doc_id"]: row["score"] for row in toxicity.scores(docs, model, broadcast=n).collect()} for n in (10**7, 0))
     assert near.keys() == far.keys() == {row[0] for row in rows}
     assert all(near[doc] == pytest.approx(far[doc], abs=1e-9) for doc in near)

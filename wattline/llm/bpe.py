@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +25,10 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from wattline.llm.common import give_back, ship, slices, spread_out
-from wattline.llm.pieces import AT_ONCE, ChunkCache
+from wattline.llm.pieces import AT_ONCE, ChunkCache, Remembered
 
 NONE = np.int64(1) << 40
 EMPTY = np.int64(-1)
@@ -35,6 +36,8 @@ WIDTHS = (4, 8, 12, 16, 24, 32, 48, 64, 128, 256)
 #: The tokenizer's white space; the pattern's \s means this.
 WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CELLS = 200_000
+#: Bytes of a generation of remembered pre-tokens in one worker.
+PIECES = 24 << 20
 
 
 class PairTable:
@@ -109,26 +112,33 @@ class Bpe:
         self.together = np.zeros(65536, bool)
         at = np.flatnonzero(inside)
         self.together[self.bytes[at - 1].astype(np.int64) << 8 | self.bytes[at]] = True
-        self.cache = ChunkCache(self.encode_strings)
+        self.cache, self.known = ChunkCache(self.encode_strings), Remembered(self.encode_pieces, PIECES)
 
     def encode_strings(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of strings that are cut by the pattern, one string after another, and their numbers."""
-        found = [self.pattern.findall(string) for string in strings]
-        distinct: dict[str, int] = {}
-        for pieces in found:
-            for piece in pieces:
-                distinct.setdefault(piece, len(distinct))
-        ids, counts = self.encode_pieces([piece.encode() for piece in distinct])
-        starts = np.cumsum(counts) - counts
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        codes = np.fromiter((distinct[piece] for pieces in found for piece in pieces), np.int64, int(sizes.sum()))
-        flat = ids[spread_out(starts[codes], counts[codes])]
-        ends = np.concatenate(([0], np.cumsum(counts[codes])))
+        """Ids of strings that are cut by the pattern, one string after another, and their numbers.
+
+        Strings whose only space is their first character, before one that is no white space, are cut together: the
+        pattern cuts before each of these spaces and nowhere else puts one first, so a piece that begins with a space begins a string.
+        """
+        plain = np.fromiter((text[:1] == " " and bool(text[1:2].strip()) and text.count(" ") == 1 for text in strings), bool, len(strings))
+        together = self.pattern.findall("".join([text for text, is_plain in zip(strings, plain.tolist()) if is_plain]))
+        apart = [self.pattern.findall(text) for text, is_plain in zip(strings, plain.tolist()) if not is_plain]
+        opens = np.fromiter((piece[0] == " " for piece in together), bool, len(together))
+        sizes = np.empty(len(strings), np.int64)
+        sizes[plain] = np.diff(np.append(np.flatnonzero(opens), len(together)))
+        sizes[~plain] = [len(pieces) for pieces in apart]
+        self.known.turn()
+        codes, starts = np.empty(int(sizes.sum()), np.int64), np.cumsum(sizes) - sizes
+        codes[spread_out(starts[plain], sizes[plain])] = self.known.codes(together)
+        codes[spread_out(starts[~plain], sizes[~plain])] = self.known.codes([piece for pieces in apart for piece in pieces])
+        ids, counts = self.known.young.get(codes)
+        ends = np.concatenate(([0], np.cumsum(counts)))
         last = np.cumsum(sizes)
-        return flat, ends[last] - ends[last - sizes]
+        return ids, ends[last] - ends[last - sizes]
 
-    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of whole pre-tokens."""
+        pieces = [text.encode() for text in texts]
         whole = np.fromiter((self.rank.get(piece, -1) for piece in pieces), np.int64, len(pieces))
         counts = np.where(whole >= 0, 1, 0)
         todo = np.flatnonzero(whole < 0)
@@ -280,46 +290,73 @@ def loaded(file: bytes, pattern: str) -> Bpe:
     return _LOADED[key]
 
 
-def _shared_file(docs: DataFrame, path: str):
+def _mapped(docs: DataFrame, path: str, pattern: str, made: list[str], kept: list[int], rows) -> DataFrame:
+    """The kept columns of ``docs`` and, behind them, binary columns ``made`` by ``rows`` from slices of a batch.
+
+    The rank file (under 1 MB) is broadcast. What is made leaves the worker slice by slice, so
+    a worker never holds the ids of a whole batch.
+    """
     ship(docs.sparkSession)
-    with open(path, "rb") as file:
-        return docs.sparkSession.sparkContext.broadcast(file.read())
+    with open(path, "rb") as source:
+        file = docs.sparkSession.sparkContext.broadcast(source.read())
+    fields = [docs.schema.fields[i] for i in kept] + [StructField(name, BinaryType()) for name in made]
+    names = [field.name for field in fields]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = loaded(file.value, pattern)
+        for batch in batches:
+            for some, new in rows(vocabulary, batch):
+                yield pa.RecordBatch.from_arrays([*(some.column(i) for i in kept), *new], names)
+            give_back()
 
-def encoder(docs: DataFrame, path: str, pattern: str):
-    """A function from a text column to its ids; the rank file (under 1 MB) is broadcast."""
-    file = _shared_file(docs, path)
+    return docs.mapInArrow(run, StructType(fields))
 
-    @arrow_udf("binary")
-    def encode_column(texts: pa.Array) -> pa.Array:
-        ids = loaded(file.value, pattern).encode_texts(texts)
-        give_back()
-        return ids
 
-    return encode_column
+def _kept(docs: DataFrame, names: list[str]) -> list[int]:
+    taken = {name.lower() for name in names}
+    return [i for i, name in enumerate(docs.columns) if name.lower() not in taken]
 
 
-def decoder(docs: DataFrame, path: str, pattern: str):
-    """A function from a column of ids to the bytes of the text."""
-    file = _shared_file(docs, path)
+def _sliced(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    for part in slices(sizes, most):
+        yield batch.slice(part.start, part.stop - part.start)
 
-    @arrow_udf("binary")
-    def decode_column(rows: pa.Array) -> pa.Array:
-        texts = loaded(file.value, pattern).decode_rows(rows)
-        give_back()
-        return texts
 
-    return decode_column
+def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "token_ids", drop_text: bool = False) -> DataFrame:
+    """The documents with their ids; a column of that name is replaced. The text need not be carried along."""
+    text = docs.columns.index(text_col)
 
+    def rows(vocabulary: Bpe, batch: pa.RecordBatch):
+        for some in _sliced(batch, text, AT_ONCE):
+            yield some, [vocabulary.encode_texts(some.column(text))]
 
-def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
-    """The documents with their ids; a column of that name is replaced."""
-    return docs.withColumn(ids_col, encoder(docs, path, pattern)(F.col(f"`{text_col}`")))
+    return _mapped(docs, path, pattern, [ids_col], _kept(docs, [ids_col, *([text_col] if drop_text else [])]), rows)
 
 
 def decode(docs: DataFrame, path: str, pattern: str, ids_col: str = "token_ids", bytes_col: str = "decoded") -> DataFrame:
     """The documents with the bytes that their ids stand for; a column of that name is replaced."""
-    return docs.withColumn(bytes_col, decoder(docs, path, pattern)(F.col(f"`{ids_col}`")))
+    ids = docs.columns.index(ids_col)
+
+    def rows(vocabulary: Bpe, batch: pa.RecordBatch):
+        for some in _sliced(batch, ids, 4 * AT_ONCE):
+            yield some, [vocabulary.decode_rows(some.column(ids))]
+
+    return _mapped(docs, path, pattern, [bytes_col], _kept(docs, [bytes_col]), rows)
+
+
+def encode_and_decode(
+    docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "token_ids", bytes_col: str = "decoded"
+) -> DataFrame:
+    """The documents without their text, with its ids and the bytes decoded from these, in one pass."""
+    text = docs.columns.index(text_col)
+
+    def rows(vocabulary: Bpe, batch: pa.RecordBatch):
+        for some in _sliced(batch, text, AT_ONCE):
+            ids = vocabulary.encode_texts(some.column(text))
+            yield some, [ids, vocabulary.decode_rows(ids)]
+
+    return _mapped(docs, path, pattern, [ids_col, bytes_col], _kept(docs, [text_col, ids_col, bytes_col]), rows)
 
 
 def n_tokens(ids: Column) -> Column:

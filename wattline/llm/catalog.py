@@ -23,7 +23,7 @@ RANKS, PATTERN = "byte_bpe_50k.tiktoken", public_tokenizers.PATTERN
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded and decoded again, as counts and digests."""
     docs, path = table(spark, folder, "documents").select("doc_id", "text"), public_tokenizers.path(RANKS)
-    encoded = bpe.decode(bpe.encode(docs, path, PATTERN), path, PATTERN)
+    encoded = bpe.encode_and_decode(docs, path, PATTERN)
     return encoded.select(
         "doc_id",
         bpe.n_tokens(F.col("token_ids")).alias("n_tokens"),

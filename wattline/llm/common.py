@@ -45,12 +45,19 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def possibly_in(rows: DataFrame, keys: DataFrame, column: str, bits: int = 22) -> DataFrame:
+#: Bits of the bitmap of ``possibly_in`` for each key, and the fewest and most of all (as powers of two).
+BITS_A_KEY, FEWEST, MOST = 16, 22, 27
+
+
+def possibly_in(rows: DataFrame, keys: DataFrame, column: str, bits: int | None = None) -> DataFrame:
     """The rows whose ``column`` is among ``keys``, and perhaps some others, without shuffling the rows.
 
-    A bitmap of the keys' hashes, at most 2 ** ``bits`` bits in rows of 64 (about 1 MB for 22 bits), is
-    broadcast. The more keys, the more other rows pass; none with a key is lost. Null is no key.
+    A bitmap of the keys' hashes, in rows of 64 bits, is broadcast. It has ``BITS_A_KEY`` bits a key, so about one other
+    row in sixteen passes, but 2 ** ``MOST`` bits (2 million rows, 32 MB) at most: with more than eight million keys more of the
+    others pass. None with a key is lost. Null is no key. Keys are read twice, to be counted and to be set.
     """
+    if bits is None:
+        bits = min(MOST, max(FEWEST, (BITS_A_KEY * keys.count()).bit_length()))
     place = f"shiftrightunsigned(xxhash64(`{column}`), {64 - bits})"
     cell, bit = F.expr(f"shiftright({place}, 6)"), F.expr(f"shiftleft(1L, CAST({place} & 63 AS INT))")
     names = fresh(rows, "cell"), fresh(rows, "cell_bits")

@@ -1,16 +1,18 @@
 """Approximate nearest neighbours by inner product, over several shifted Hilbert orders.
 
-Vectors are lengthened by one coordinate that gives them all the largest norm, so that the largest
-inner product becomes the nearest direction. Each of ``CURVES`` or more orders projects them to ``PROJECTED``
-random directions, shifts and quantises the projections, and sorts by the Hilbert key of the cell; Spark
-range-partitions all orders at once. Ranks cut each order into blocks of ``BLOCK`` rows, with the ``WINDOW`` rows
+Candidates fall into bands by their norms, each band spanning a factor of ``STEP``. Within a band vectors are
+lengthened by one coordinate that gives them all the band's largest norm, so that the largest inner product becomes the
+nearest direction; a few long vectors do not press all others together, as they have a band of their own. Each of
+``CURVES`` or more orders of a band projects its vectors to ``PROJECTED`` random directions, shifts and quantises the
+projections, and sorts by the Hilbert key of the cell; queries are searched in all bands. Spark range-partitions all orders of all
+bands at once. Ranks cut each order into blocks of ``BLOCK`` rows, with the ``WINDOW`` rows
 before and after as a margin, so every task holds a bounded number of vectors however many share
 a key. A query is compared exactly with the ``WINDOW`` rows on either side of its key; what all orders
 found is merged.
 
 Equal vectors are searched as one and take part with their smallest ids, so ties are complete. Centre
-and spread of the projections are fitted on the ``SAMPLE`` rows with the smallest hash of their id; every
-row is indexed. Windows are of fixed size, and a neighbour's chance to lie in one falls with the number of rows
+and spread of the projections are fitted, for each band, on the ``SAMPLE`` rows with the smallest hash of their id, as
+queries and, those of the band, as candidates; every row is indexed. A band that one window holds needs one order. Windows are of fixed size, and a neighbour's chance to lie in one falls with the number of rows
 about as its power -0.62, so beyond ``HELD`` windows the orders grow as the power 0.62 (``curves_for``).
 
 Defined results: a vector that is null, zero, of another length than most of the sample or holds null or
@@ -34,6 +36,8 @@ from wattline.llm.common import ship, written
 CURVES, PROJECTED, CELL_BITS, WINDOW, BLOCK, SAMPLE = 20, 8, 6, 2048, 8192, 4096
 #: Rows that ``CURVES`` orders serve, in windows of one side, and the power by which the orders grow beyond.
 HELD, POWER = 24, 0.62
+#: The factor of norms that a band spans; the last of ``BANDS`` bands has all shorter vectors (below 1 / 2900 of the longest).
+STEP, BANDS = 2**0.5, 24
 RESULT = "query_id long, rank int, vec_id long, score double"
 
 
@@ -70,46 +74,65 @@ def curves_for(rows: int, window: int = WINDOW) -> int:
 
 
 class Orders:
-    """The projections, shifts and scales of all orders."""
+    """The projections, shifts and scales of all orders of all bands.
 
-    def __init__(self, sample: np.ndarray, longest: float, curves: int, projected: int, bits: int, seed: int):
+    ``bands`` has for each band its largest norm and the number of its rows. Orders are numbered through all bands.
+    """
+
+    def __init__(self, sample: np.ndarray, bands: dict[int, tuple[float, int]], curves: int | None, window: int, projected: int, bits: int, seed: int):
         random = np.random.default_rng(seed)
         width = sample.shape[1] + 1
-        self.longest, self.bits = longest, bits
-        self.axes = np.stack([np.linalg.qr(random.normal(size=(width, min(projected, width))))[0] for _ in range(curves)])
-        self.shifts = random.random((curves, self.axes.shape[2]))
-        sample = self.lengthened(sample, False)
-        found = [sample @ axes for axes in self.axes]
-        self.centre, self.spread = [x.mean(axis=0) for x in found], [x.std(axis=0) + 1e-12 for x in found]
-
-    def lengthened(self, vectors: np.ndarray, queries: bool) -> np.ndarray:
-        vectors = vectors / self.longest
-        squared = (vectors**2).sum(axis=1)
-        if queries:
-            vectors, extra = vectors / np.sqrt(squared)[:, None], np.zeros(len(vectors))
-        else:
-            extra = np.sqrt(np.maximum(0.0, 1.0 - squared))
-        return np.concatenate((vectors, extra[:, None]), axis=1)
-
-    def keys(self, vectors: np.ndarray, queries: bool) -> Iterator[np.ndarray]:
-        """The keys of each order, one order after another."""
-        vectors = self.lengthened(vectors, queries)
-        for axes, shifts, centre, spread in zip(self.axes, self.shifts, self.centre, self.spread):
+        self.bits, self.bands, first = bits, {}, 0
+        needed = {band: curves or (1 if rows <= window else curves_for(rows, window)) for band, (_, rows) in bands.items()}
+        most = max(needed.values())
+        self.axes = np.stack([np.linalg.qr(random.normal(size=(width, min(projected, width))))[0] for _ in range(most)])
+        self.shifts = random.random((most, self.axes.shape[2]))
+        norms = np.sqrt((sample**2).sum(axis=1))
+        longest = max(norm for norm, _ in bands.values())
+        of_sample = band_of(norms, longest)
+        for band, (norm, _) in sorted(bands.items()):
+            both = np.concatenate((lengthened(sample[of_sample == band], norm, False), lengthened(sample, norm, True)))
+            found = [both @ axes for axes in self.axes[: needed[band]]]
+            self.bands[band] = (norm, first, [x.mean(axis=0) for x in found], [x.std(axis=0) + 1e-12 for x in found])
+            first += needed[band]
+        self.longest, self.total = longest, first
+
+    def keys(self, vectors: np.ndarray, band: int, queries: bool) -> Iterator[tuple[int, np.ndarray]]:
+        """Number and keys of each order of a band."""
+        norm, first, centres, spreads = self.bands[band]
+        vectors = lengthened(vectors, norm, queries)
+        for curve, (axes, shifts, centre, spread) in enumerate(zip(self.axes, self.shifts, centres, spreads)):
             found = (vectors @ axes - centre) / spread
             unit = 1.0 / (1.0 + np.exp(-np.clip(1.7 * found, -30, 30)))  # near the normal distribution function
-            yield hilbert_key(((unit + shifts) * (1 << (self.bits - 1))).astype(np.int64), self.bits)
+            yield first + curve, hilbert_key(((unit + shifts) * (1 << (self.bits - 1))).astype(np.int64), self.bits)
+
+
+def band_of(norms: np.ndarray, longest: float) -> np.ndarray:
+    """The band of each norm: 0 for the longest."""
+    return np.clip(np.floor(np.log(longest / norms) / math.log(STEP) + 1e-9), 0, BANDS - 1).astype(np.int64)
+
+
+def lengthened(vectors: np.ndarray, norm: float, queries: bool) -> np.ndarray:
+    """Candidates with the coordinate that brings them to ``norm``, scaled to 1; queries scaled to 1, with 0 there."""
+    if queries:
+        vectors, extra = vectors / np.sqrt((vectors**2).sum(axis=1))[:, None], np.zeros(len(vectors))
+    else:
+        vectors = vectors / norm
+        extra = np.sqrt(np.maximum(0.0, 1.0 - (vectors**2).sum(axis=1)))
+    return np.concatenate((vectors, extra[:, None]), axis=1)
 
 
 def _keyed(frames: Iterator[pd.DataFrame], orders: Orders) -> Iterator[pd.DataFrame]:
     for frame in frames:
         if not len(frame):
             continue
-        vectors = np.stack(frame["vector"].to_numpy()).astype(np.float64)
-        asked = frame["asked"].to_numpy()
-        for is_query, rows in ((False, np.arange(len(frame))), (True, np.flatnonzero(asked))):
-            if len(rows):
-                for curve, keys in enumerate(orders.keys(vectors[rows], is_query)):
-                    yield pd.DataFrame({"curve": curve, "key": keys, "query": is_query, "id": frame["id"].to_numpy()[rows]})
+        vectors, ids = np.stack(frame["vector"].to_numpy()).astype(np.float64), frame["id"].to_numpy()
+        own, asked = frame["band"].to_numpy(), np.flatnonzero(frame["asked"].to_numpy())
+        for band in orders.bands:
+            for is_query, rows in ((False, np.flatnonzero(own == band)), (True, asked)):
+                if len(rows):
+                    for curve, keys in orders.keys(vectors[rows], band, is_query):
+                        yield pd.DataFrame({"curve": curve, "key": keys, "query": is_query, "id": ids[rows]})
 
 
 def _numbered(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -167,7 +190,7 @@ def nearest(
 ) -> DataFrame:
     """For each row that is ``asked`` for, its ``k`` nearest others: query_id, rank, vec_id, score.
 
-    Without ``curves`` their number follows from the number of rows.
+    Without ``curves`` their number in each band follows from the number of its rows.
     """
     spark = table.sparkSession
     ship(spark)
@@ -181,11 +204,7 @@ def nearest(
     width = int(sample["vector"].map(len).mode()[0])
     rows = rows.filter(F.size("vector") == width)
     squared = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
-    longest, n_rows = rows.agg(F.sqrt(F.max(squared)), F.count("*")).first()
-    curves = curves_for(n_rows, window) if curves is None else curves
     fitted = np.stack(sample["vector"][sample["vector"].map(len) == width].to_numpy())
-    orders = spark.sparkContext.broadcast(Orders(fitted, float(longest), curves, projected, bits, seed))
-
     # Equal vectors as one, with their k + 1 smallest ids; the limit is applied before the shuffle.
     smallest = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
     members = rows.withColumn("place", smallest).filter(F.col("place") <= k + 1).groupBy("vector")
@@ -193,14 +212,19 @@ def nearest(
     questions = rows.filter("asked").groupBy("vector").agg(F.lit(True).alias("asked"))
     distinct = written(
         members.join(questions, "vector", "left").select(
-            F.element_at("ids", 1).alias("id"), "ids", "vector", F.coalesce("asked", F.lit(False)).alias("asked")
+            F.element_at("ids", 1).alias("id"), "ids", "vector", F.coalesce("asked", F.lit(False)).alias("asked"), F.sqrt(squared).alias("norm")
         ),
         "vectors",
     )
+    longest = distinct.agg(F.max("norm")).first()[0]
+    band = F.floor(F.ln(F.lit(longest) / F.col("norm")) / math.log(STEP) + 1e-9)
+    distinct = distinct.withColumn("band", F.greatest(F.lit(0), F.least(band, F.lit(BANDS - 1))))
+    bands = {row["band"]: (row["norm"], row["n"]) for row in distinct.groupBy("band").agg(F.max("norm").alias("norm"), F.count("*").alias("n")).collect()}
+    orders = spark.sparkContext.broadcast(Orders(fitted, bands, curves, window, projected, bits, seed))
 
     order = ["curve", "key", "query", "id"]
     numbered = written(
-        distinct.select("id", "vector", "asked")
+        distinct.select("id", "vector", "asked", "band")
         .mapInPandas(lambda frames: _keyed(frames, orders.value), "curve int, key long, query boolean, id long")
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)

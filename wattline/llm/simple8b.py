@@ -1,7 +1,7 @@
 """Simple-8b: whole numbers in 64-bit words, decoded by array operations.
 
 The top four bits of a word select how many numbers of how many bits follow (fixed values
-below). Numbers are coded in runs of ``RUN``; an offset tells where the words of each run begin, so
+below). Numbers are coded in runs of ``RUN``, a multiple of 60, so that equal small numbers fill whole words; an offset tells where the words of each run begin, so
 runs decode independently of each other. Within a run each word takes as many numbers as fit; the last one
 is filled up with zeros. A number of more than 60 bits is an escape: its word holds the
 place of the number in a list at the end.
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 
-RUN = 128
+RUN = 240
 # Numbers in a word and bits of each, by selector.
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 BITS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)

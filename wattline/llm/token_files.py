@@ -10,14 +10,17 @@ block by block. A document is never split; a task holds one block at a time.
 Texts are cut at spaces where the tokenizer's own pattern always cuts, and each worker remembers the ids of
 the chunks it has met, so the library sees each of them once.
 
+Added tokens, such as ``<|endoftext|>``, are found in texts as the library finds them: a text is cut around them first.
+
 Defined results: null text is empty and gets the end id alone; rows without id come first; rows that repeat
-an id stand together and are each kept; strings of special tokens are ordinary text.
+an id stand together, in an order given by their texts, and are each kept; without rows there are no files to read.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -32,52 +35,75 @@ from wattline.llm.pieces import AT_ONCE, ChunkCache
 from wattline.llm.simple8b import pack, unpack
 
 BLOCK_IDS = 1 << 18
-#: Chunks given to the library as one string, and chunks remembered by a worker (some 250 MB).
-JOINED, REMEMBERED = 10_000, 1_500_000
+#: Chunks given to the library as one string, and bytes of each generation of remembered chunks.
+JOINED, REMEMBERED = 10_000, 110 << 20
 BLOCK = "part int, block int, doc_ids array<long>, counts array<long>, n_ids long, packed binary"
 
-_CACHES: dict[str, ChunkCache] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
 
-def _cache(vocabulary: bytes) -> ChunkCache:
-    """The library's tokenizer behind a cache of chunks, prepared once in each worker."""
-    key = hashlib.sha256(vocabulary).hexdigest()
-    if key not in _CACHES:
+class Encoder:
+    """The library's tokenizer behind a cache of chunks."""
+
+    def __init__(self, vocabulary: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(vocabulary.decode())
-        tokenizer.encode_special_tokens = True
-
-        space = tokenizer.encode(" a", add_special_tokens=False).tokens[0][0]
-        pieces = sorted(tokenizer.get_vocab(with_added_tokens=True).items(), key=lambda item: item[1])
-        opens = np.zeros(pieces[-1][1] + 1, bool)
-        opens[[number for piece, number in pieces if piece.startswith(space)]] = True
-
-        def encode(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            """Chunks whose only space is their first character go to the library many at a time: it cuts
-            before each of these spaces, so a token that opens with a space opens a chunk."""
-            plain = np.fromiter((text[:1] == " " and text.count(" ") == 1 for text in strings), bool, len(strings))
-            chunks = [text for text, is_plain in zip(strings, plain.tolist()) if is_plain]
-            joined = ["".join(chunks[i : i + JOINED]) for i in range(0, len(chunks), JOINED)]
-            apart = [text for text, is_plain in zip(strings, plain.tolist()) if not is_plain]
-            found = [np.array(made.ids, np.int64) for made in tokenizer.encode_batch_fast(joined + apart, add_special_tokens=False)]
-            together = np.concatenate([np.zeros(0, np.int64), *found[: len(joined)]])
-            counts = np.empty(len(strings), np.int64)
-            counts[plain] = np.diff(np.append(np.flatnonzero(opens[together]), len(together)))
-            counts[~plain] = [len(ids) for ids in found[len(joined) :]]
-            ids, starts = np.empty(int(counts.sum()), np.int64), np.cumsum(counts) - counts
-            ids[spread_out(starts[plain], counts[plain])] = together
-            rest = np.concatenate([np.zeros(0, np.int64), *found[len(joined) :]])
-            ids[spread_out(starts[~plain], counts[~plain])] = rest
-            return ids, counts
-
-        _CACHES[key] = ChunkCache(encode, REMEMBERED)
-    return _CACHES[key]
+        self.tokenizer = Tokenizer.from_str(vocabulary.decode())
+        space = self.tokenizer.encode(" a", add_special_tokens=False).tokens[0][0]
+        pieces = sorted(self.tokenizer.get_vocab(with_added_tokens=True).items(), key=lambda item: item[1])
+        self.opens = np.zeros(pieces[-1][1] + 1, bool)
+        self.opens[[number for piece, number in pieces if piece.startswith(space)]] = True
+        added = list(self.tokenizer.get_added_tokens_decoder().values())
+        self.added = re.compile("(" + "|".join(re.escape(token.content) for token in sorted(added, key=lambda token: -len(token.content))) + ")")
+        self.added = self.added if added else None
+        # A token that takes white space or whole words only, or is found in normalized text, is left to the library with all its text.
+        self.plain = self.tokenizer.normalizer is None and not any(token.lstrip or token.rstrip or token.single_word for token in added)
+        self.joined = JOINED if not any(" " in token.content for token in added) else 1
+        self.cache = ChunkCache(self.encode, REMEMBERED)
+
+    def encode(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks whose only space is their first character, before one that is no white space, go to the library many at a
+        time: it cuts before each of these spaces, so a token that opens with a space opens a chunk."""
+        plain = np.fromiter((text[:1] == " " and bool(text[1:2].strip()) and text.count(" ") == 1 for text in strings), bool, len(strings))
+        chunks = [text for text, is_plain in zip(strings, plain.tolist()) if is_plain]
+        joined = ["".join(chunks[i : i + self.joined]) for i in range(0, len(chunks), self.joined)]
+        apart = [text for text, is_plain in zip(strings, plain.tolist()) if not is_plain]
+        found = [np.array(made.ids, np.int64) for made in self.tokenizer.encode_batch_fast(joined + apart, add_special_tokens=False)]
+        together = np.concatenate([np.zeros(0, np.int64), *found[: len(joined)]])
+        counts = np.empty(len(strings), np.int64)
+        counts[plain] = np.diff(np.append(np.flatnonzero(self.opens[together]), len(together)))
+        counts[~plain] = [len(ids) for ids in found[len(joined) :]]
+        ids, starts = np.empty(int(counts.sum()), np.int64), np.cumsum(counts) - counts
+        ids[spread_out(starts[plain], counts[plain])] = together
+        rest = np.concatenate([np.zeros(0, np.int64), *found[len(joined) :]])
+        ids[spread_out(starts[~plain], counts[~plain])] = rest
+        return ids, counts
+
+    def texts(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For consecutive parts of the texts: all ids, one after another, and the number of each text."""
+        if self.added is None or not any(map(self.added.search, texts)):
+            yield from self.cache.texts(texts)
+        elif self.plain:
+            cut = [self.added.split(text) for text in texts]
+            made = list(self.cache.texts([piece for pieces in cut for piece in pieces]))
+            counts, last = np.concatenate([counts for _, counts in made]), np.cumsum([len(pieces) for pieces in cut])
+            yield np.concatenate([ids for ids, _ in made]), np.add.reduceat(counts, np.append(0, last[:-1]))
+        else:
+            made = [np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int64) for text in texts]
+            yield np.concatenate(made), np.array([len(ids) for ids in made])
+
+
+def _encoder(vocabulary: bytes) -> Encoder:
+    """Prepared once in each worker."""
+    key = hashlib.sha256(vocabulary).hexdigest()
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(vocabulary)
+    return _ENCODERS[key]
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], vocabulary: bytes, end_id: int, block_ids: int) -> Iterator[pa.RecordBatch]:
-    cache, part, block = _cache(vocabulary), TaskContext.get().partitionId(), 0
+    encoder, part, block = _encoder(vocabulary), TaskContext.get().partitionId(), 0
     docs: list[int | None] = []
     counts: list[np.ndarray] = []
     ids: list[np.ndarray] = []
@@ -96,7 +122,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], vocabulary: bytes, end_id: int, b
         sizes = [len(text) for text in texts.to_pylist()]
         for rows in slices(sizes, AT_ONCE):
             start = rows.start
-            for found, numbers in cache.texts(texts.slice(rows.start, rows.stop - rows.start).to_pylist()):
+            for found, numbers in encoder.texts(texts.slice(rows.start, rows.stop - rows.start).to_pylist()):
                 ends = np.cumsum(numbers)
                 ids.append(np.insert(found, ends, end_id))
                 counts.append(numbers + 1)
@@ -125,7 +151,9 @@ def write_tokens(
     with open(vocabulary_path, "rb") as file:
         vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_of(text_col).alias("text"))
-    texts.repartitionByRange("id").sortWithinPartitions("id").mapInArrow(
+    # Rows without id, or of one id, are dealt out by their texts.
+    order = ["id", F.xxhash64("text")]
+    texts.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
         lambda batches: _blocks(batches, vocabulary.value, end_id, block_ids), BLOCK
     ).write.parquet(folder)
 

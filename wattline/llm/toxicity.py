@@ -41,6 +41,8 @@ ORDER, DISCOUNT, LENGTH = 5, 0.75, 0.5
 FOLDS, TEST_FOLD, CURVE_FOLD = 5, 0, 4
 #: Labelled documents that the logistic curve (two numbers) is fitted to, at most about so many, chosen by hash.
 CURVE_ROWS = 100_000
+#: Labels that are broadcast (some 30 MB); with more the labelled texts are shuffled to them.
+MARKS = 500_000
 #: Rows of a model that is broadcast, characters handled at once, words remembered by a worker in each of two generations.
 BROADCAST, AT_ONCE, REMEMBERED = 2_000_000, 500_000, 200_000
 WORD = re.compile(r"[^\W_]+")
@@ -295,13 +297,17 @@ def fit(
     label_col: str = "toxic",
     curve_rows: int = CURVE_ROWS,
     broadcast: int = BROADCAST,
+    most_marks: int = MARKS,
 ) -> Model:
     """A model of the labelled documents that are not held out."""
     ship(docs.sparkSession)
     marks = labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{label_col}`").cast("int").alias("toxic"))
     marks = marks.filter("id IS NOT NULL AND toxic IN (0, 1)").distinct().withColumn("fold", fold_of(F.col("id"))).filter(F.col("fold") != TEST_FOLD)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_of(text_col).alias("text"))
-    labelled = written(possibly_in(texts, marks.select("id"), "id").join(marks, "id"), "labelled")
+    marks = written(marks, "labels")
+    few = marks.count() <= most_marks
+    found = texts.join(F.broadcast(marks), "id") if few else possibly_in(texts, marks.select("id"), "id").join(marks, "id")
+    labelled = written(found, "labelled")
     total, toxic = labelled.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if toxic in (0, total):
         share = (toxic + 1) / (total + 2)
