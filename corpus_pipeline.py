@@ -39,7 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, and the digest of the text that they decode to."""
     path = public_tokenizers.path(RANKS)
-    encoded = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), path, PATTERN), path, PATTERN)
+    encoded = bpe.encode_and_decode(docs.select("doc_id", "source", "text"), path, PATTERN)
     return encoded.select(
         "doc_id",
         "source",
