@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry
+from wattline.plans import upkeep  # noqa: F401, registers queries
 from wattline.plans.catalog import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"

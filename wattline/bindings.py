@@ -62,13 +62,20 @@ def status_notifications(events: DataFrame) -> DataFrame:
 
 
 def session_facts(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Orders with the first and last ship date and the lowest and highest price of their lines."""
-    lines = lineitem.groupBy("l_orderkey").agg(
+    """Orders with the first and last ship date and the lowest and highest price of their lines.
+
+    The explode keeps the four together: jobs that use two of them here and two there share one aggregation.
+    """
+    ends = lineitem.groupBy("l_orderkey").agg(
         F.min("l_shipdate").alias("first_ship"),
         F.max("l_shipdate").alias("last_ship"),
-        F.floor(F.min("l_extendedprice")).cast("int").alias("low"),
-        F.floor(F.max("l_extendedprice")).cast("int").alias("high"),
+        F.min("l_extendedprice").alias("low"),
+        F.max("l_extendedprice").alias("high"),
     )
+    lines = ends.select("l_orderkey", F.explode(F.array(F.struct("first_ship", "last_ship", "low", "high"))).alias("ends")).select(
+        "l_orderkey", "ends.first_ship", "ends.last_ship",
+        F.floor("ends.low").cast("int").alias("low"), F.floor("ends.high").cast("int").alias("high"),
+    )
     return orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus").join(
         lines, F.col("o_orderkey") == F.col("l_orderkey"), "left"
     )
@@ -178,7 +185,7 @@ def charging_log(
 ) -> DataFrame:
     """The raw log of the given actions; a filter on one kind of message leaves only its branch.
 
-    ``tasks`` deals meter lines and events out to that many tasks before their bodies are built. It is for
+    ``tasks`` deals orders, meter lines and events out to that many tasks before their bodies are built. It is for
     a caller that knows its tables to be a few small files; by default nothing is shuffled.
     """
 
@@ -187,7 +194,7 @@ def charging_log(
 
     facts = session_facts(orders, lineitem)
     kinds = {
-        "StartTransaction": lambda: start_requests(facts).unionByName(start_responses(orders)),
+        "StartTransaction": lambda: start_requests(facts).unionByName(start_responses(dealt(orders))),
         "StopTransaction": lambda: stop_requests(facts),
         "MeterValues": lambda: meter_values(dealt(lineitem)),
         "StatusNotification": lambda: status_notifications(dealt(events)),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: A date, a time of day to the second, a fraction and an offset if there are any.
-ISO_TIME = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?( ?(Z|UTC|[+-][0-9]{2}(:?[0-9]{2})?))?\s*$"
+#: Where a text with a date and a time of day to the second has its marks, and its least length in bytes.
+MARKS, SHORTEST = {5: "-", 8: "-", 11: "T ", 14: ":", 17: ":"}, 19
 MICROS_PER_HOUR = 3_600_000_000
 
 
@@ -15,10 +17,13 @@ def event_time(column: str | Column) -> Column:
 
     Accepts ``Z``, ``+00:00`` and ``+0000`` offsets, and passes timestamps through. A text must have
     its date and its time of day: Spark alone would read ``12:30`` as a time of the current day.
+    A look at a few places tells that, at a fraction of the cost of a regular expression.
     """
     time = _column(column)
-    full = (F.typeof(time) != "string") | F.rlike(time.cast("string"), F.lit(ISO_TIME))
-    return F.when(full, F.try_to_timestamp(time))
+    text = F.ltrim(time.cast("string"))
+    marked = [F.substring(text, place, 1).isin(*marks) for place, marks in MARKS.items()]
+    full = reduce(lambda a, b: a & b, marked, F.octet_length(text) >= SHORTEST)
+    return F.when((F.typeof(time) != "string") | full, F.try_to_timestamp(time))
 
 
 def iso_text(column: str | Column, offset: str = "xxx") -> Column:

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from wattline.operators.checks import Check, Watch
 from wattline.operators.messages import cast_timestamps, flatten, flatten_samples, messages, unpack_json
 from wattline.schemas import METER_SAMPLES, REQUEST, RESPONSE, START_REQUEST, START_RESPONSE, STOP_REQUEST
 from wattline.schemas import with_wide_ids
@@ -57,11 +62,25 @@ def silver_tables(log: DataFrame, wide_ids: bool = False) -> dict[str, DataFrame
     }
 
 
-def write_silver(log: DataFrame, path: str, wide_ids: bool = False, files: int | None = None) -> None:
+def write_silver(
+    log: DataFrame,
+    path: str,
+    wide_ids: bool = False,
+    files: int | None = None,
+    checks: Mapping[str, Sequence[Check]] | None = None,
+) -> DataFrame | None:
     """One Parquet table per kind; on a bronze log each write reads its own row groups only.
 
     The samples are most of the log and stay where they were read; the small tables
     are brought together into few files. ``files`` fixes the number for all.
+
+    ``checks`` names the checks of each table. They are made on the rows as they are written, and
+    the result has a row for each: ``name`` of the table, ``check``, ``observed``, ``passed``.
     """
+    found = []
     for name, table in silver_tables(log, wide_ids).items():
-        write_table(table, f"{path.rstrip('/')}/{name}", files, in_place=name == "MeterValuesRequest")
+        watch = Watch(*(checks or {}).get(name, ()))
+        write_table(watch.on(table), f"{path.rstrip('/')}/{name}", files, in_place=name == "MeterValuesRequest")
+        if watch.checks:
+            found.append(watch.rows().select(F.lit(name).alias("name"), "*"))
+    return reduce(DataFrame.unionByName, found) if found else None

@@ -93,6 +93,12 @@ def read_last_minute(
     return read_time_slice(table, at, column, unit)
 
 
+def slice_bounds(at: datetime, unit: str = "minute") -> tuple[datetime, datetime]:
+    """Start and end of the minute (hour, day) that contains ``at``."""
+    start = _floor(at, unit)
+    return start, start + STEPS[unit]
+
+
 def _floor(at: datetime, unit: str) -> datetime:
     """Start of the unit on the UTC clock; a time without zone is taken as UTC."""
     at = at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at.astimezone(timezone.utc)
