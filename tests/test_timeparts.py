@@ -12,8 +12,8 @@ from wattline.sources.tables import read_time_slice
 def lake_rows(spark):
     return spark.createDataFrame(
         [
-            ("123", 2, "1", "Heartbeat", "2023-01-01T09:00:00+00:00", "{}", 1672563600),
-            ("123", 2, "1", "Heartbeat", "2023-01-01T09:05:00+00:00", "{}", 1672563900),
+            ("m-71", 2, "plug-4", "Heartbeat", "2023-01-01T09:00:00+00:00", "{}", 1),
+            ("m-72", 2, "plug-4", "Heartbeat", "2023-01-01T09:05:00+00:00", "{}", 2),
         ],
         LAKE_MESSAGE,
     )

@@ -56,10 +56,14 @@ def update_parking(
     arrived = instant_states(samples, idle=idle, no_session=no_session).select(
         F.col("transaction_id").cast("long").alias("transaction_id"), F.col("at").cast("timestamp").alias("at"), "opens", "closes", "any_idle"
     )
-    arrived = arrived.withColumn(PART, F.date_format("at", NAMES[to]))
-    there = read_parts(spark, f"{state}/instants", INSTANTS, [PART], only=arrived)
-    merged = merged_instants(there.unionByName(arrived.select(*INSTANTS.names)), "transaction_id", "at", PART)
-    replace_parts(merged.select(*INSTANTS.names), f"{state}/instants", slice_number, [PART])
+    # The slice is asked for its parts and for its rows; its samples are read once.
+    arrived = arrived.withColumn(PART, F.date_format("at", NAMES[to])).persist()
+    try:
+        there = read_parts(spark, f"{state}/instants", INSTANTS, [PART], only=arrived)
+        merged = merged_instants(there.unionByName(arrived.select(*INSTANTS.names)), "transaction_id", "at", PART)
+        replace_parts(merged.select(*INSTANTS.names), f"{state}/instants", slice_number, [PART])
+    finally:
+        arrived.unpersist()
     # The hours of the parts that this slice has written, as its commit notes them; an hour lies within one part.
     noted = commits(spark, f"{state}/instants", f"{PART} string").filter(F.col("version") == slice_number)
     written = read_parts(spark, f"{state}/instants", INSTANTS, [PART], only=noted)
