@@ -37,7 +37,7 @@ WIDTHS = (4, 8, 12, 16, 24, 32, 48, 64, 128, 256)
 WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CELLS = 200_000
 #: Bytes of a generation of remembered pre-tokens in one worker.
-PIECES = 24 << 20
+PIECES = 16 << 20
 
 
 class PairTable:
@@ -308,6 +308,9 @@ def _mapped(docs: DataFrame, path: str, pattern: str, made: list[str], kept: lis
             for some, new in rows(vocabulary, batch):
                 yield pa.RecordBatch.from_arrays([*(some.column(i) for i in kept), *new], names)
             give_back()
+        vocabulary.cache.rest()
+        vocabulary.known.rest()
+        give_back()
 
     return docs.mapInArrow(run, StructType(fields))
 

@@ -21,7 +21,7 @@ from wattline.llm.common import slices, spread_out
 LOOSE = re.compile(r" (?!\S)")
 BOUNDARY = re.compile(r" (?=\S)")
 #: Characters handled at once, and bytes (of chunks' texts, ids and tables, estimated) of a generation in one worker.
-AT_ONCE, REMEMBERED = 500_000, 40 << 20
+AT_ONCE, REMEMBERED = 500_000, 24 << 20
 #: What a chunk costs beside its characters and ids: a string, its place in a dictionary, two numbers.
 ENTRY = 170
 
@@ -78,6 +78,10 @@ class Remembered:
         if self.young.size > self.remembered:
             self.young, self.old = Generation(), self.young
 
+    def rest(self) -> None:
+        """Give up the older generation, for a worker that may be used for something else next."""
+        self.old = Generation()
+
     def codes(self, keys: list[str], string: Callable[[str], str] | None = None) -> np.ndarray:
         """The young generation's codes of strings; ``string`` gives what a key stands for."""
         codes = np.fromiter(map(self.young.codes.get, keys, repeat(-1)), np.int64, len(keys))

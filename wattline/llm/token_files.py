@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ from wattline.llm.simple8b import pack, unpack
 
 BLOCK_IDS = 1 << 18
 #: Chunks given to the library as one string, and bytes of each generation of remembered chunks.
-JOINED, REMEMBERED = 10_000, 110 << 20
+JOINED, REMEMBERED = 10_000, 170 << 20
 BLOCK = "part int, block int, doc_ids array<long>, counts array<long>, n_ids long, packed binary"
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -119,7 +120,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], vocabulary: bytes, end_id: int, b
 
     for batch in batches:
         names, texts = batch.column(0).to_pylist(), batch.column(1)
-        sizes = [len(text) for text in texts.to_pylist()]
+        sizes = pc.binary_length(texts).to_pylist()
         for rows in slices(sizes, AT_ONCE):
             start = rows.start
             for found, numbers in encoder.texts(texts.slice(rows.start, rows.stop - rows.start).to_pylist()):
