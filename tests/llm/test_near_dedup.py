@@ -2,12 +2,22 @@ import os
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tests.llm.data import LONG, ROWS, documents, empty
 from wattline.llm.alignment import encoded, similar
 from wattline.llm.graph import stars
-from wattline.llm.near_dedup import LEAST, drop_near_copies, near_classes, sketch, words_of
+from wattline.llm.near_dedup import (
+    BINS,
+    LEAST,
+    _sketched,
+    drop_near_copies,
+    near_classes,
+    others,
+    sketch,
+    words_of,
+)
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -150,3 +160,51 @@ def test_a_text_of_a_repeated_id_does_not_pull_the_other_along(spark):
     rows = [(0, a + " more", "en", "s", 1), (5, a, "en", "s", 1), (5, b, "en", "s", 1), (5, b, "en", "s", 1)]
     kept = sorted((row["doc_id"], row["text"]) for row in drop_near_copies(documents(spark, rows)).collect())
     assert kept == [(0, a + " more"), (5, b), (5, b)]
+
+
+def test_a_bucket_loses_no_link_between_texts_that_are_no_neighbours(spark):
+    """Four kinds of texts share a long passage and take turns in their only bucket."""
+    rng = random.Random(11)
+    passage = [f"common{i}" for i in range(90)]
+    tails = [[f"kind{kind}word{i}" for i in range(40)] for kind in range(4)]
+    rows, bucket = [], None
+    while len(rows) < 40:
+        tail = list(tails[len(rows) % 4])
+        tail[rng.randrange(40)] = f"own{rng.random()}"
+        text = " ".join(passage + tail)
+        found = _sketched(pd.Series([text]), 5, 2, 1)["sketch"][0][0]
+        bucket = found if bucket is None else bucket
+        if found == bucket:
+            rows.append((len(rows), text, "en", "s", 1))
+    got = {row["doc_id"]: row["class_id"] for row in near_classes(documents(spark, rows), sketches=1, early=1).collect()}
+    assert got == {doc: doc % 4 for doc in range(40)} == classes_by_brute_force(rows)
+
+
+def test_blocks_of_a_bucket_hold_every_pair_that_may_be_similar(spark):
+    rng = np.random.default_rng(5)
+    kinds = rng.integers(0, 3, (6, BINS))
+    nodes, members, roots = [], [], []
+    for i in range(60):
+        counts = kinds[i % 6].copy()
+        counts[rng.integers(0, BINS, 8)] += 1
+        nodes.append((i, int(counts.sum()), bytearray(counts.astype("<u2").tobytes())))
+        members.append((7 if i < 50 else 8, i))
+        if i % 5 == 0 and i:
+            roots.append((i, 0))
+    root = dict(roots)
+    want = set()
+    for bucket, a in members:
+        for other, b in members:
+            if a < b and bucket == other and root.get(a, a) != root.get(b, b):
+                x, y = (np.frombuffer(bytes(nodes[i][2]), "<u2").astype(int) for i in (a, b))
+                edits = int((1 - LEAST) * max(x.sum(), y.sum()) + 1e-9)
+                if abs(x - y).sum() <= 2 * edits - abs(x.sum() - y.sum()):
+                    want.add((a, b))
+    frames = (
+        spark.createDataFrame(members, "bucket long, id long"),
+        spark.createDataFrame(roots, "id long, root long"),
+        spark.createDataFrame(nodes, "id long, n_words int, counts binary"),
+    )
+    assert len(want) > 100
+    for block in (7, 1000):
+        assert {tuple(row) for row in others(*frames, block=block).collect()} == want

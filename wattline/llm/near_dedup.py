@@ -11,7 +11,10 @@ then by the next sketch, then by length, so that a bucket of any size is spread
 compared with its neighbour. In a group of copies that chains the members; in a bucket filled by
 a common passage, texts that agree elsewhere too come to stand together; and each of the
 sketches gives another order. First the pairs of a few sketches are aligned, then, of the
-pairs of all others, those whose texts are not yet connected. A pair is a link if its edit
+pairs of all others, those whose texts are not yet connected. What then still shares a bucket without being
+connected is compared each with each, in blocks of bounded size that are dealt over tasks: counts of
+hashed words refuse most of these pairs, never one within the edits allowed, and the others are aligned. So no
+pair of texts that share a bucket is lost. A pair is a link if its edit
 similarity (1 - word edits / words of the longer text) is ``LEAST`` or more, decided exactly; a
 document's class is the smallest id it is connected with.
 
@@ -40,6 +43,8 @@ from wattline.llm.graph import stars
 WORDS, ORDER, SKETCHES, EARLY, LEAST = 5, 2, 96, 4, 0.8
 #: Numbers in a matrix of hashes, and characters aligned together.
 CELLS, AT_ONCE = 500_000, 500_000
+#: Bins of the counts of words, and rows of a crowded bucket that form a block.
+BINS, BLOCK = 128, 2048
 #: Hashes of words that are kept between texts.
 KNOWN = 100_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -100,17 +105,28 @@ def _sketched(texts: pd.Series, words: int, order: int, sketches: int) -> pd.Dat
             known[word] = xxhash.xxh3_64_intdigest(word)
         hashes = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
         key = hashlib.blake2b(" ".join(found).encode("utf-8", "replace"), digest_size=16).digest()
-        rows.append((key, len(found), sketch(hashes, words, order, sketches).view(np.int64)))
-    return pd.DataFrame(rows, columns=["words", "n_words", "sketch"])
+        bins = np.bincount((hashes >> np.uint64(32)).astype(np.int64) % BINS, minlength=BINS)
+        counts = np.minimum(bins, 0xFFFF).astype("<u2").tobytes()
+        rows.append((key, len(found), counts, sketch(hashes, words, order, sketches).view(np.int64)))
+    return pd.DataFrame(rows, columns=["words", "n_words", "counts", "sketch"])
 
 
 def _neighbours(frames: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFrame]:
-    """Pairs of neighbours in a bucket, and the first and last row of the partition (kinds 0, 1, 2)."""
+    """Pairs of neighbours in a bucket, and the first and last row of the partition (kinds 0, 1, 2).
+
+    Kind 3 are the members of buckets with three texts or more; a bucket that goes on in the next batch or
+    partition may be one, so its members are given too.
+    """
     part = TaskContext.get().partitionId()
     last: pd.DataFrame | None = None
     for frame in frames:
         if not len(frame):
             continue
+        starts = np.flatnonzero(np.diff(frame["bucket"].to_numpy(), prepend=frame["bucket"].iloc[0] ^ 1) != 0)
+        counts = np.diff(np.append(starts, len(frame)))
+        crowded = counts > 2
+        crowded[[0, -1]] = True
+        yield _edge(frame[np.repeat(crowded, counts)], part, 3)
         if last is None:
             yield _edge(frame.iloc[:1], part, 1)
         else:
@@ -143,9 +159,12 @@ def _edge(row: pd.DataFrame, part: int, kind: int) -> pd.DataFrame:
     )
 
 
-def candidates(distinct: DataFrame, early: int = EARLY, least: float = LEAST) -> DataFrame:
+def candidates(distinct: DataFrame, early: int = EARLY, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
     """Pairs ``a < b`` of ids that stand together in a bucket; ``early`` if in one of the first sketches.
 
+    Beside them, as ``bucket`` and ``id``, the members of all buckets with three texts or more: ``others`` compares
+    those that are no neighbours.
+
     ``distinct`` has id, n_words and sketch, one row for each different text.
     """
     size = F.size("sketch")
@@ -165,14 +184,92 @@ def candidates(distinct: DataFrame, early: int = EARLY, least: float = LEAST) ->
     )
     # Where a partition ends within a bucket: its last row and the first of the next one.
     across = Window.orderBy("part", "kind")
-    ends = found.filter("kind > 0").select(
+    ends = found.filter("kind IN (1, 2)").select(
         "*", F.lag("bucket").over(across).alias("bucket_before"), F.lag("a").over(across).alias("before")
     )
     ends = ends.filter("kind = 1 AND bucket = bucket_before AND a <> before").select(
         F.least("a", "before").alias("a"), F.greatest("a", "before").alias("b"), "early"
     )
     pairs = found.filter("kind = 0").select("a", "b", "early").unionByName(ends)
-    return pairs.groupBy("a", "b").agg(F.max("early").alias("early"))
+    crowded = found.filter("kind = 3").select("bucket", F.col("a").alias("id"))
+    return pairs.groupBy("a", "b").agg(F.max("early").alias("early")), crowded
+
+
+def _unlike(frames: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFrame]:
+    """Pairs within the groups of sorted rows whose roots differ and whose counts of words allow them to be similar."""
+    held: pd.DataFrame | None = None
+    for frame in frames:
+        frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
+        # The last group may go on in the next batch; a group has about two blocks at most.
+        keys = frame[["bucket", "low", "high"]].to_numpy()
+        new = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        whole = int(new[-1]) if len(new) else 0
+        held = frame.iloc[whole:]
+        if whole:
+            yield from _group_pairs(frame.iloc[:whole], np.append(0, new[:-1]), least)
+    if held is not None and len(held):
+        yield from _group_pairs(held, np.zeros(1, np.int64), least)
+
+
+def _group_pairs(frame: pd.DataFrame, starts: np.ndarray, least: float) -> Iterator[pd.DataFrame]:
+    sizes = np.diff(np.append(starts, len(frame)))
+    # How many rows of its group come after a row.
+    after = np.repeat(starts + sizes, sizes) - np.arange(len(frame)) - 1
+    ids, roots, words, mine, low, high = (
+        frame[name].to_numpy() for name in ("id", "root", "n_words", "mine", "low", "high")
+    )
+    counts = np.frombuffer(b"".join(frame["counts"]), "<u2").reshape(len(frame), BINS).astype(np.int32)
+    at = np.flatnonzero(after > 0)
+    step = 0
+    while len(at):
+        step += 1
+        left, right = at, at + step
+        # Two blocks are compared across, a single one with itself.
+        open_ = (roots[left] != roots[right]) & ((low[left] == high[left]) | (mine[left] != mine[right]))
+        left, right = left[open_], right[open_]
+        longer = np.maximum(words[left], words[right])
+        apart = longer - np.minimum(words[left], words[right])
+        # An edit changes two counts by one, or one if it changes the length.
+        spare = 2 * ((1 - least) * longer + 1e-9).astype(np.int64) - apart
+        fits = spare >= apart
+        left, right, spare = left[fits], right[fits], spare[fits]
+        for i in range(0, len(left), 1024):
+            l, r = left[i : i + 1024], right[i : i + 1024]
+            near = np.abs(counts[l] - counts[r]).sum(axis=1) <= spare[i : i + 1024]
+            if near.any():
+                a, b = ids[l[near]], ids[r[near]]
+                yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        at = at[after[at] > step]
+
+
+def others(
+    crowded: DataFrame, roots: DataFrame, distinct: DataFrame, least: float = LEAST, block: int = BLOCK
+) -> DataFrame:
+    """Pairs ``a < b`` of texts that share a bucket, are not connected and may be similar.
+
+    ``roots`` has id and root of connected texts, ``distinct`` id, n_words and counts. A bucket of any
+    size is cut into blocks by hashes of ids; each pair of blocks is a group of its own.
+    """
+    members = written(
+        crowded.distinct().join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "crowded"
+    )
+    mixed = members.groupBy("bucket").agg(
+        F.min("root").alias("least_root"), F.max("root").alias("last_root"), F.ceil(F.count("*") / block).cast("int").alias("blocks")
+    )
+    mixed = mixed.filter("least_root <> last_root").select("bucket", "blocks")
+    dealt = (
+        members.join(mixed, "bucket")
+        .join(distinct.select("id", "n_words", "counts").dropDuplicates(["id"]), "id")
+        .withColumn("mine", F.expr("CAST(pmod(xxhash64(id), blocks) AS INT)"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "bucket", F.least("mine", "other").cast("long").alias("low"), F.greatest("mine", "other").cast("long").alias("high"),
+            F.col("mine").cast("long").alias("mine"), "id", "root", "n_words", "counts",
+        )
+    )
+    by = ["bucket", "low", "high"]
+    found = dealt.repartition(*by).sortWithinPartitions(*by).mapInPandas(lambda frames: _unlike(frames, least), "a long, b long")
+    return found.distinct()
 
 
 def linked(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
@@ -201,7 +298,7 @@ def _placed(
     """One row per row of ``docs``: id, ``key`` (of its text), ``class_id``, ``copy_of`` and whether it stays."""
     ship(docs.sparkSession)
 
-    @pandas_udf("words binary, n_words int, sketch array<long>")
+    @pandas_udf("words binary, n_words int, counts binary, sketch array<long>")
     def sketched(texts: pd.Series) -> pd.DataFrame:
         found = _sketched(texts, words, order, sketches)
         give_back()
@@ -221,17 +318,28 @@ def _placed(
     copies = written(digest.groupBy("words").agg(first).select("words", "first.*"), "copies")
     # Rows that repeat id and words are one; any of them tells the sketch.
     distinct = digest.join(copies.select("words", F.col("node").alias("first_node")), "words").filter("node = first_node")
-    pairs = written(candidates(distinct.select(F.col("node").alias("id"), "n_words", "sketch"), early, least), "pairs")
+    nodes = distinct.select(F.col("node").alias("id"), "n_words", "counts", "sketch")
+    pairs, crowded = candidates(nodes.select("id", "n_words", "sketch"), early, least)
+    pairs = written(pairs, "pairs")
     in_pairs = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
     named_texts = noded(texts.filter("id IS NOT NULL"), "unhex(md5(text))")
-    compared = written(possibly_in(named_texts.select(F.col("node").alias("id"), "text"), in_pairs.withColumnRenamed("node", "id"), "id"), "compared")
 
+    def texts_in(ids: DataFrame) -> DataFrame:
+        return written(possibly_in(named_texts.select(F.col("node").alias("id"), "text"), ids.withColumnRenamed("node", "id"), "id"), "compared")
+
+    compared = texts_in(in_pairs)
     begun = stars(linked(pairs.filter("early"), compared, least))
     root = {side: begun.select(F.col("id").alias(side), F.col("root").alias(f"root_{side}")) for side in "ab"}
     apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
     rest = pairs.filter("NOT early").join(root["a"], "a", "left").join(root["b"], "b", "left").filter(apart)
     links = linked(rest, compared, least).union(begun.select("id", "root"))
-    roots = stars(links).select(F.col("id").alias("node"), "root")
+    roots = stars(links)
+    # Texts that share a bucket without being neighbours or connected.
+    more = written(others(crowded, roots, nodes, least).join(pairs, ["a", "b"], "left_anti"), "others")
+    if not more.isEmpty():
+        compared = texts_in(more.select(F.col("a").alias("node")).union(more.select("b")).distinct())
+        roots = stars(linked(more, compared, least).union(roots.select("id", "root")))
+    roots = roots.select(F.col("id").alias("node"), "root")
     # The smallest id of a class, and the node that it stands for.
     rooted = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     heads = rooted.join(copies, "node").groupBy(F.col("root").alias("of")).agg(F.min(F.struct("id", "node")).alias("head"))
