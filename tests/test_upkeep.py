@@ -1,6 +1,7 @@
 """Tables that are kept up to date, checked or sorted out while they are written."""
 
 import json
+import os
 import random
 from datetime import datetime, timedelta
 from itertools import permutations
@@ -10,12 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests import helpers as h
+from wattline import bindings
 from wattline.operators import checks, variant
 from wattline.operators.idle import total_parking_time
 from wattline.operators.quarantine import read_split, unpack_checked, write_split
 from wattline.operators.sessions import close_session
 from wattline.operators.timeparts import event_log_partition_columns
-from wattline.plans import last_seen, parking, silver
+from wattline.plans import catalog, last_seen, parking, silver, upkeep
 from wattline.schemas import LAKE_MESSAGE, MESSAGE, START_REQUEST, STOP_REQUEST, STREAM_MESSAGE
 from wattline.sinks.buckets import bucketed_sessions, records_from_buckets, write_bucketed
 from wattline.sinks.tables import append_lake_table
@@ -27,6 +29,7 @@ from wattline.streaming.progress import ProgressLog
 from wattline.streaming.status import count_statuses, write_stream
 from wattline.streaming.upsert import open_windows, read_counts, upsert_counts, upsert_stream
 
+FOLDER = "/root/testdata/sf0.001"
 KEYS = ["charge_point_id", "status", "window"]
 NUMBERED = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType()), T.StructField("day", T.DateType())])
 
@@ -231,6 +234,14 @@ def test_variants_keep_what_no_schema_declares(spark):
     assert "a: VARIANT" in schema and "n: DECIMAL" in schema
 
 
+def test_undeclared_keys_are_listed_once_and_without_text(spark, out):
+    bodies(spark, '{"b": 1, "a": {"c": 2}}', "[1]", "3").write.parquet(out)
+    rows = spark.read.parquet(out).transform(variant.with_variant).transform(variant.undeclared, F.array(F.lit("a")))
+    plan = h.physical(rows)
+    assert plan.count("map_keys") + plan.count("json_object_keys") == 1 and "to_json" not in plan
+    assert [row["undeclared"] for row in rows.collect()] == [["b"]]
+
+
 # --- incremental jobs --------------------------------------------------------
 
 

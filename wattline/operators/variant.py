@@ -36,5 +36,7 @@ def inferred_schema(df: DataFrame, *by: str, source: str = "any_body", target: s
 
 def undeclared(df: DataFrame, declared: Column, source: str = "any_body") -> DataFrame:
     """Rows whose top level has keys that are not among ``declared`` (an array of names), with these keys as ``undeclared``."""
-    keys = F.json_object_keys(F.to_json(F.col(source)))
-    return df.withColumn("undeclared", F.array_except(keys, declared)).filter(F.size("undeclared") > 0)
+    keys = F.map_keys(F.try_variant_get(F.col(source), "$", "map<string,variant>"))
+    # As a plain column the keys would be listed once for the condition and once for the result.
+    found = F.explode(F.array(F.array_except(keys, declared))).alias("undeclared")
+    return df.select(*(F.col(name) for name in df.columns if name != "undeclared"), found).filter(F.size("undeclared") > 0)
