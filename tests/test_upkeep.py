@@ -375,3 +375,29 @@ def test_stop_bodies_that_lost_a_type(spark):
     text = json.dumps({"meter_stop": "many", "transaction_id": 4})
     found = bodies(spark, text).transform(unpack_checked, STOP_REQUEST).first()
     assert found["reason"] == "untyped" and found["body"] == text
+
+
+# --- meter messages of the test tables ---------------------------------------
+
+
+def test_meter_bodies_are_put_together_as_text(spark):
+    line = "l_orderkey long, l_linenumber int, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_shipdate timestamp_ntz"
+    rows = [(7, 1, 3, 40.0, 8.5, 0.0, None, datetime(1996, 8, 6)), (None, None, None, None, None, None, None, None)]
+    lines = spark.createDataFrame(rows, line)
+    found = bindings.meter_values(lines)
+    assert "to_json" not in h.physical(found)
+    end = '"location":"Outlet","unit":'
+
+    def reading(time, power, voltage, phase):
+        start = '"context":"Sample.Periodic","format":"Raw","measurand":'
+        return (
+            f'{{"timestamp":{time},"sampled_value":[{{"value":{power},{start}"Power.Active.Import","phase":null,{end}"W"}},'
+            f'{{"value":{voltage},{start}"Voltage","phase":"L1-N",{end}"V"}},{{"value":{phase},{start}"Power.Active.Import","phase":"L1",{end}"W"}}]}}'
+        )
+
+    times = [f'"1996-08-06T{hour}:00:00.000000+00:00"' for hour in ("00", "06")]
+    full, empty = (row["body"] for row in found.collect())
+    both = ",".join(reading(time, '"0.0"', '"8.5"', "null") for time in times)
+    assert full == f'{{"connector_id":1,"meter_value":[{both}],"transaction_id":7}}'
+    both = ",".join([reading("null", "null", "null", "null")] * 2)
+    assert empty == f'{{"connector_id":null,"meter_value":[{both}],"transaction_id":null}}'

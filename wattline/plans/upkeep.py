@@ -23,6 +23,7 @@ from wattline.plans.catalog import (
     METER_VALUES_WIDE,
     PARKING,
     PROPS,
+    SESSION_SAMPLES_WIDE,
     SQL,
     START,
     STATUS,
@@ -203,7 +204,7 @@ def variant_undeclared(t: Tables) -> DataFrame:
 @query(f"WITH {PARKING} SELECT * FROM parking")
 def parking_incremental(t: Tables) -> DataFrame:
     """Samples come in two slices that interleave within sessions and hours, and one of them comes twice."""
-    state, power = t.scratch("parking"), reshape_meter_values(t.kind(METER, REQUEST).transform(unpack_json, METER_VALUES_WIDE))
+    state, power = t.scratch("parking"), reshape_meter_values(t.kind(METER, REQUEST).transform(unpack_json, SESSION_SAMPLES_WIDE))
     later = F.hour("timestamp") >= 3
     for number, part in enumerate((later, ~later, later)):
         parking.update_parking(power.filter(part), state, number, to="year")
@@ -233,7 +234,7 @@ def cdr_bucketed(t: Tables) -> DataFrame:
     out, tables = t.scratch("buckets"), silver.silver_tables(t.log(), wide_ids=True)
     sides = ("StartTransactionRequest", "StartTransactionResponse", "StopTransactionRequest")
     sessions = bucketed_sessions(*(tables[name] for name in sides), out, f"b{out.rsplit('-', 1)[-1]}", 8)
-    power = t.kind(METER, REQUEST).transform(unpack_json, METER_VALUES_WIDE).transform(reshape_meter_values)
+    power = t.kind(METER, REQUEST).transform(unpack_json, SESSION_SAMPLES_WIDE).transform(reshape_meter_values)
     return records_from_buckets(sessions, power.transform(total_parking_time))
 
 
