@@ -401,3 +401,12 @@ def test_meter_bodies_are_put_together_as_text(spark):
     assert full == f'{{"connector_id":1,"meter_value":[{both}],"transaction_id":7}}'
     both = ",".join([reading("null", "null", "null", "null")] * 2)
     assert empty == f'{{"connector_id":null,"meter_value":[{both}],"transaction_id":null}}'
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
+def test_slices_of_samples_parse_no_body_again(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(upkeep.parking, "update_parking", lambda samples, *_, **__: plans.append(h.physical(samples)))
+    monkeypatch.setattr(upkeep.parking, "parking_so_far", lambda session, _: session.range(1))
+    catalog.QUERIES["parking_incremental"](spark, FOLDER)
+    assert len(plans) == 3 and not any("from_json" in plan for plan in plans)

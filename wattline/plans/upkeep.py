@@ -34,7 +34,7 @@ from wattline.plans.catalog import (
 )
 from wattline.schemas import MESSAGE, REQUEST
 from wattline.sinks.buckets import bucketed_sessions, records_from_buckets
-from wattline.sinks.tables import append_lake_table
+from wattline.sinks.tables import append_lake_table, write_table
 from wattline.sinks.zones import append_zoned, read_zoned_slice
 from wattline.sources import streams
 from wattline.sources.tables import read_parquet
@@ -204,7 +204,11 @@ def variant_undeclared(t: Tables) -> DataFrame:
 @query(f"WITH {PARKING} SELECT * FROM parking")
 def parking_incremental(t: Tables) -> DataFrame:
     """Samples come in two slices that interleave within sessions and hours, and one of them comes twice."""
-    state, power = t.scratch("parking"), reshape_meter_values(t.kind(METER, REQUEST).transform(unpack_json, SESSION_SAMPLES_WIDE))
+    state, out = t.scratch("parking"), t.scratch("samples")
+    power = reshape_meter_values(t.kind(METER, REQUEST).transform(unpack_json, SESSION_SAMPLES_WIDE))
+    # The three slices are read from a table of samples, so each body is formed and parsed once.
+    write_table(power, out, in_place=True)
+    power = read_parquet(t.spark, out, power.schema)
     later = F.hour("timestamp") >= 3
     for number, part in enumerate((later, ~later, later)):
         parking.update_parking(power.filter(part), state, number, to="year")
