@@ -208,3 +208,28 @@ def test_blocks_of_a_bucket_hold_every_pair_that_may_be_similar(spark):
     assert len(want) > 100
     for block in (7, 1000):
         assert {tuple(row) for row in others(*frames, block=block).collect()} == want
+
+
+def test_no_more_links_than_texts_leave_a_bucket(spark):
+    """Two large kinds that are not connected yet: each text of a kind is like every other one of it."""
+    rng = random.Random(12)
+    kinds = [[f"kind{kind}word{i}" for i in range(50)] for kind in range(2)]
+    texts = [(i, " ".join([f"own{i}", *kinds[i % 2][1:]])) for i in range(120)]
+    rng.shuffle(texts)
+    found = _sketched(pd.Series([text for _, text in texts]), 5, 2, 1)
+    nodes = [(i, int(n), bytearray(counts)) for (i, _), n, counts in zip(texts, found["n_words"], found["counts"])]
+    frames = (
+        spark.createDataFrame([(7, i) for i, _ in texts], "bucket long, id long"),
+        spark.createDataFrame([(3, 1)], "id long, root long"),
+        spark.createDataFrame(nodes, "id long, n_words int, counts binary"),
+    )
+    assert others(*frames).count() > 3000
+    rows = spark.createDataFrame(texts, "id long, text string")
+    for block, groups in ((1000, 1), (40, 6)):
+        links = [tuple(row) for row in others(*frames, block=block, texts=lambda ids: rows.join(ids, "id")).collect()]
+        assert len(links) <= groups * 118 and {a % 2 == b % 2 for a, b in links} == {True}
+        label = {i: i for i, _ in texts} | {3: 1}
+        for a, b in links:
+            low, high = sorted((label[a], label[b]))
+            label = {i: low if old == high else old for i, old in label.items()}
+        assert label == {i: i % 2 for i, _ in texts}

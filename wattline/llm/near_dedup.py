@@ -13,8 +13,9 @@ a common passage, texts that agree elsewhere too come to stand together; and eac
 sketches gives another order. First the pairs of a few sketches are aligned, then, of the
 pairs of all others, those whose texts are not yet connected. What then still shares a bucket without being
 connected is compared each with each, in blocks of bounded size that are dealt over tasks: counts of
-hashed words refuse most of these pairs, never one within the edits allowed, and the others are aligned. So no
-pair of texts that share a bucket is lost. A pair is a link if its edit
+hashed words refuse most of these pairs, never one within the edits allowed, and the others are aligned within
+the block, unless links found there connect them already. So no
+pair of texts that share a bucket is lost, and no more links leave a block than it has texts. A pair is a link if its edit
 similarity (1 - word edits / words of the longer text) is ``LEAST`` or more, decided exactly; a
 document's class is the smallest id it is connected with.
 
@@ -26,7 +27,7 @@ id is never compared, its class is that of its words, and it always stays.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -43,8 +44,8 @@ from wattline.llm.graph import stars
 WORDS, ORDER, SKETCHES, EARLY, LEAST = 5, 2, 96, 4, 0.8
 #: Numbers in a matrix of hashes, and characters aligned together.
 CELLS, AT_ONCE = 500_000, 500_000
-#: Bins of the counts of words, and rows of a crowded bucket that form a block.
-BINS, BLOCK = 128, 2048
+#: Bins of the counts of words, and rows and words of a crowded bucket that form a block.
+BINS, BLOCK, BLOCK_WORDS = 128, 2048, 1_000_000
 #: Hashes of words that are kept between texts.
 KNOWN = 100_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -219,13 +220,16 @@ def _group_pairs(frame: pd.DataFrame, starts: np.ndarray, least: float) -> Itera
         frame[name].to_numpy() for name in ("id", "root", "n_words", "mine", "low", "high")
     )
     counts = np.frombuffer(b"".join(frame["counts"]), "<u2").reshape(len(frame), BINS).astype(np.int32)
+    # What is connected has one name within its group.
+    names = np.unique(np.stack([np.repeat(starts, sizes), roots]), axis=1, return_inverse=True)[1].ravel()
+    codes = encoded([words_of(text) for text in frame["text"]]) if "text" in frame else None
     at = np.flatnonzero(after > 0)
     step = 0
     while len(at):
         step += 1
         left, right = at, at + step
         # Two blocks are compared across, a single one with itself.
-        open_ = (roots[left] != roots[right]) & ((low[left] == high[left]) | (mine[left] != mine[right]))
+        open_ = (names[left] != names[right]) & ((low[left] == high[left]) | (mine[left] != mine[right]))
         left, right = left[open_], right[open_]
         longer = np.maximum(words[left], words[right])
         apart = longer - np.minimum(words[left], words[right])
@@ -236,35 +240,63 @@ def _group_pairs(frame: pd.DataFrame, starts: np.ndarray, least: float) -> Itera
         for i in range(0, len(left), 1024):
             l, r = left[i : i + 1024], right[i : i + 1024]
             near = np.abs(counts[l] - counts[r]).sum(axis=1) <= spare[i : i + 1024]
-            if near.any():
-                a, b = ids[l[near]], ids[r[near]]
+            l, r = l[near], r[near]
+            if codes is not None and len(l):
+                alike = similar([codes[k] for k in l], [codes[k] for k in r], least)
+                l, r = _connecting(names, l[alike], r[alike])
+            if len(l):
+                a, b = ids[l], ids[r]
                 yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
         at = at[after[at] > step]
 
 
+def _connecting(names: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The links that connect what no link before them did; ``names`` are changed to say so."""
+    needed = np.zeros(len(left), bool)
+    for i, (l, r) in enumerate(zip(left.tolist(), right.tolist())):
+        a, b = names[l], names[r]
+        if a != b:
+            needed[i] = True
+            names[names == b] = a
+    return left[needed], right[needed]
+
+
 def others(
-    crowded: DataFrame, roots: DataFrame, distinct: DataFrame, least: float = LEAST, block: int = BLOCK
+    crowded: DataFrame,
+    roots: DataFrame,
+    distinct: DataFrame,
+    least: float = LEAST,
+    block: int = BLOCK,
+    texts: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Pairs ``a < b`` of texts that share a bucket, are not connected and may be similar.
 
     ``roots`` has id and root of connected texts, ``distinct`` id, n_words and counts. A bucket of any
     size is cut into blocks by hashes of ids; each pair of blocks is a group of its own.
+
+    ``texts`` gives id and text for a frame of ids. With it the pairs of a group are aligned there, and of the similar
+    ones only those come that connect something: fewer than the group has rows, however many pairs it has.
     """
     members = written(
         crowded.distinct().join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "crowded"
     )
-    mixed = members.groupBy("bucket").agg(
-        F.min("root").alias("least_root"), F.max("root").alias("last_root"), F.ceil(F.count("*") / block).cast("int").alias("blocks")
-    )
-    mixed = mixed.filter("least_root <> last_root").select("bucket", "blocks")
+    mixed = members.groupBy("bucket").agg(F.min("root").alias("least_root"), F.max("root").alias("last_root"))
+    mixed = mixed.filter("least_root <> last_root").select("bucket")
+    sizes = distinct.select("id", "n_words", "counts").dropDuplicates(["id"])
+    inside = written(members.join(mixed, "bucket").join(sizes, "id"), "mixed")
+    blocks = F.ceil(F.greatest(F.count("*") / block, F.sum("n_words") / BLOCK_WORDS)).cast("int")
+    if texts is not None:
+        own = texts(inside.select("id").distinct()).dropDuplicates(["id"])
+        placed, kept = inside.join(own, "id"), ["counts", "text"]
+    else:
+        placed, kept = inside, ["counts"]
     dealt = (
-        members.join(mixed, "bucket")
-        .join(distinct.select("id", "n_words", "counts").dropDuplicates(["id"]), "id")
+        placed.join(inside.groupBy("bucket").agg(blocks.alias("blocks")), "bucket")
         .withColumn("mine", F.expr("CAST(pmod(xxhash64(id), blocks) AS INT)"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "bucket", F.least("mine", "other").cast("long").alias("low"), F.greatest("mine", "other").cast("long").alias("high"),
-            F.col("mine").cast("long").alias("mine"), "id", "root", "n_words", "counts",
+            F.col("mine").cast("long").alias("mine"), "id", "root", "n_words", *kept,
         )
     )
     by = ["bucket", "low", "high"]
@@ -321,11 +353,11 @@ def _placed(
     nodes = distinct.select(F.col("node").alias("id"), "n_words", "counts", "sketch")
     pairs, crowded = candidates(nodes.select("id", "n_words", "sketch"), early, least)
     pairs = written(pairs, "pairs")
-    in_pairs = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    in_pairs = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
     named_texts = noded(texts.filter("id IS NOT NULL"), "unhex(md5(text))")
 
     def texts_in(ids: DataFrame) -> DataFrame:
-        return written(possibly_in(named_texts.select(F.col("node").alias("id"), "text"), ids.withColumnRenamed("node", "id"), "id"), "compared")
+        return written(possibly_in(named_texts.select(F.col("node").alias("id"), "text"), ids, "id"), "compared")
 
     compared = texts_in(in_pairs)
     begun = stars(linked(pairs.filter("early"), compared, least))
@@ -335,10 +367,9 @@ def _placed(
     links = linked(rest, compared, least).union(begun.select("id", "root"))
     roots = stars(links)
     # Texts that share a bucket without being neighbours or connected.
-    more = written(others(crowded, roots, nodes, least).join(pairs, ["a", "b"], "left_anti"), "others")
+    more = written(others(crowded, roots, nodes, least, texts=texts_in), "others")
     if not more.isEmpty():
-        compared = texts_in(more.select(F.col("a").alias("node")).union(more.select("b")).distinct())
-        roots = stars(linked(more, compared, least).union(roots.select("id", "root")))
+        roots = stars(more.union(roots.select("id", "root")))
     roots = roots.select(F.col("id").alias("node"), "root")
     # The smallest id of a class, and the node that it stands for.
     rooted = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
