@@ -104,3 +104,14 @@ def test_frequent_chunks_are_encoded_once():
         assert sum(int(counts.sum()) for _, counts in made) == len(ids)
         assert cache.young.size + cache.old.size < 200_000
     assert letters.asked[" of"] == 1 and letters.asked["the"] == 1
+
+
+def test_a_worker_remembers_a_bounded_number_of_bytes():
+    with open(PATH, "rb") as file:
+        vocabulary = bpe.Bpe(file.read(), public_tokenizers.PATTERN)
+    most = 0
+    for part in range(40):
+        vocabulary.encode_texts(pa.array([" ".join(f"{(part * 8000 + i) * 7919:x}q" for i in range(8000))]))
+        held = [getattr(cache, name).size for cache in (vocabulary.cache, vocabulary.known) for name in ("young", "old")]
+        most = max(most, sum(held))
+    assert 30 << 20 < most < 48 << 20

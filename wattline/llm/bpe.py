@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from wattline.llm.common import give_back, ship, slices, spread_out
-from wattline.llm.pieces import AT_ONCE, ChunkCache, Remembered
+from wattline.llm.pieces import ChunkCache, Remembered
 
 NONE = np.int64(1) << 40
 EMPTY = np.int64(-1)
@@ -36,8 +36,10 @@ WIDTHS = (4, 8, 12, 16, 24, 32, 48, 64, 128, 256)
 #: The tokenizer's white space; the pattern's \s means this.
 WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CELLS = 200_000
-#: Bytes of a generation of remembered pre-tokens in one worker.
-PIECES = 16 << 20
+#: Bytes of text that are encoded together.
+AT_ONCE = 250_000
+#: Bytes of a generation of remembered pre-tokens and of remembered chunks in one worker.
+PIECES, CHUNKS = 8 << 20, 12 << 20
 
 
 class PairTable:
@@ -100,19 +102,21 @@ class Bpe:
         self.lengths = np.fromiter(map(len, tokens), np.int64, size)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.single = np.array([self.rank[bytes([byte])] for byte in range(256)], np.int64)
-        merges = [
-            (self.rank[token[:cut]], self.rank[token[cut:]], rank)
+        # Straight into an array: a list of all merges would hold several times as much while the vocabulary loads.
+        merges = (
+            number
             for token, rank in self.rank.items()
             for cut in range(1, len(token))
             if token[:cut] in self.rank and token[cut:] in self.rank
-        ]
-        self.pairs = PairTable(*np.array(merges, np.int64).reshape(-1, 3).T)
+            for number in (self.rank[token[:cut]], self.rank[token[cut:]], rank)
+        )
+        self.pairs = PairTable(*np.fromiter(merges, np.int64).reshape(-1, 3).T)
         inside = np.ones(len(self.bytes), bool)
         inside[self.starts[self.lengths > 0]] = False
         self.together = np.zeros(65536, bool)
         at = np.flatnonzero(inside)
         self.together[self.bytes[at - 1].astype(np.int64) << 8 | self.bytes[at]] = True
-        self.cache, self.known = ChunkCache(self.encode_strings), Remembered(self.encode_pieces, PIECES)
+        self.cache, self.known = ChunkCache(self.encode_strings, CHUNKS), Remembered(self.encode_pieces, PIECES)
 
     def encode_strings(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of strings that are cut by the pattern, one string after another, and their numbers.
@@ -287,6 +291,7 @@ def loaded(file: bytes, pattern: str) -> Bpe:
     key = (hashlib.sha256(file).hexdigest(), pattern)
     if key not in _LOADED:
         _LOADED[key] = Bpe(file, pattern)
+        give_back()
     return _LOADED[key]
 
 
