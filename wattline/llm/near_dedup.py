@@ -223,6 +223,8 @@ def _group_pairs(frame: pd.DataFrame, starts: np.ndarray, least: float) -> Itera
     # What is connected has one name within its group.
     names = np.unique(np.stack([np.repeat(starts, sizes), roots]), axis=1, return_inverse=True)[1].ravel()
     codes = encoded([words_of(text) for text in frame["text"]]) if "text" in frame else None
+    sketches = np.stack(frame["sketch"]) if "sketch" in frame else None
+    bucket = frame["bucket"].to_numpy()
     at = np.flatnonzero(after > 0)
     step = 0
     while len(at):
@@ -241,6 +243,11 @@ def _group_pairs(frame: pd.DataFrame, starts: np.ndarray, least: float) -> Itera
             l, r = left[i : i + 1024], right[i : i + 1024]
             near = np.abs(counts[l] - counts[r]).sum(axis=1) <= spare[i : i + 1024]
             l, r = l[near], r[near]
+            if sketches is not None and len(l):
+                # Texts that share several buckets are compared in the first one.
+                first = (sketches[l] == sketches[r]).argmax(axis=1)
+                here = sketches[l, first] == bucket[l]
+                l, r = l[here], r[here]
             if codes is not None and len(l):
                 alike = similar([codes[k] for k in l], [codes[k] for k in r], least)
                 l, r = _connecting(names, l[alike], r[alike])
@@ -275,21 +282,23 @@ def others(
     size is cut into blocks by hashes of ids; each pair of blocks is a group of its own.
 
     ``texts`` gives id and text for a frame of ids. With it the pairs of a group are aligned there, and of the similar
-    ones only those come that connect something: fewer than the group has rows, however many pairs it has.
+    ones only those come that connect something: fewer than the group has rows, however many pairs it has. If ``distinct``
+    has the sketches, each pair is compared in the first bucket that its texts share, and in no other. Were that one not crowded,
+    the two would be neighbours in it, and compared already.
     """
     members = written(
         crowded.distinct().join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "crowded"
     )
     mixed = members.groupBy("bucket").agg(F.min("root").alias("least_root"), F.max("root").alias("last_root"))
     mixed = mixed.filter("least_root <> last_root").select("bucket")
-    sizes = distinct.select("id", "n_words", "counts").dropDuplicates(["id"])
-    inside = written(members.join(mixed, "bucket").join(sizes, "id"), "mixed")
+    kept = ["counts", *(["sketch"] if "sketch" in distinct.columns else [])]
+    sizes = distinct.select("id", "n_words", *kept).dropDuplicates(["id"])
+    inside = written(members.join(mixed, "bucket").join(sizes.select("id", "n_words"), "id"), "mixed")
+    placed = inside.join(sizes.drop("n_words"), "id")
     blocks = F.ceil(F.greatest(F.count("*") / block, F.sum("n_words") / BLOCK_WORDS)).cast("int")
     if texts is not None:
         own = texts(inside.select("id").distinct()).dropDuplicates(["id"])
-        placed, kept = inside.join(own, "id"), ["counts", "text"]
-    else:
-        placed, kept = inside, ["counts"]
+        placed, kept = placed.join(own, "id"), [*kept, "text"]
     dealt = (
         placed.join(inside.groupBy("bucket").agg(blocks.alias("blocks")), "bucket")
         .withColumn("mine", F.expr("CAST(pmod(xxhash64(id), blocks) AS INT)"))
