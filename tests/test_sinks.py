@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +84,35 @@ def test_table_is_one_file_with_marker(spark, out):
     assert h.rows(read_parquet(spark, out)) == h.rows(df)
 
 
+def test_one_file_is_joined_from_what_many_tasks_wrote(spark, out):
+    df = spark.range(0, 4000, 1, 4).selectExpr("id", "IF(id % 3 > 0, CAST(id AS STRING), null) AS text", "array(id, null) AS ids")
+    tasks = df.select(F.spark_partition_id().alias("task"), "*")
+    write_table(tasks, out, files=1, in_place=True)
+    file, = [n for n in names(spark, out) if n.endswith(".snappy.parquet")]
+    assert pq.ParquetFile(f"{out}/{file}").num_row_groups == 4  # one of each task
+    back = spark.read.parquet(out)
+    assert back.schema == spark.read.schema(tasks.schema).parquet(out).schema
+    assert h.rows(back) == h.rows(tasks) and back.select("task").distinct().count() == 4
+    assert h.rows(back.filter("id = 3999")) == h.rows(tasks.filter("id = 3999"))
+    assert is_committed(spark, out) and not [n for n in names(spark, out[: out.rindex("/")]) if n.startswith("_")]
+
+
+def test_one_file_is_written_in_every_mode(spark, out):
+    one, other = spark.range(5), spark.range(5, 8)
+    write_table(one, out, files=1, mode="error")
+    with pytest.raises(Exception):
+        write_table(other, out, files=1, mode="error")
+    write_table(other, out, files=1, mode="ignore")
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4]
+    write_table(other, out, files=1, mode="append")
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(8))
+    write_table(other, out, files=1)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [5, 6, 7]
+    write_table(one.limit(0), out, files=1)
+    assert spark.read.parquet(out).count() == 0 and names(spark, out).count("_SUCCESS") == 1
+    assert len([n for n in names(spark, out) if n.endswith(".parquet")]) == 1
+
+
 @pytest.mark.parametrize("format", ["parquet", "orc", "json", "csv"])
 def test_log_formats(spark, out, format):
     df = log(spark, HOURS)
